@@ -234,6 +234,15 @@ ORACLES = {
         FROM control
         WHERE ct = dt OR date_trunc('milliseconds', last_ts) + INTERVAL 1 DAY
                          <= (SELECT date_trunc('milliseconds', max(ts) - INTERVAL 1 HOUR) FROM events)""",
+    "stream_end_states": f"""
+        WITH {_DATA}, {_EVENT_CONTROL}
+        SELECT {DAY_KEY}, ct AS declared_trade_data, cm AS declared_market_data,
+               dt AS received_trade_data, dm AS received_market_data,
+               TRUE AS has_control, TRUE AS has_data, last_ts,
+               CASE WHEN ct = dt THEN 'COMPLETE'
+                    ELSE 'INCOMPLETE' END AS status
+        FROM control
+        WHERE last_ts + INTERVAL 1 DAY <= (SELECT date_trunc('milliseconds', max(ts) - INTERVAL 1 HOUR) FROM events)""",
     "state_snapshot": f"""
         WITH {_DATA}, {_EVENT_CONTROL}
         SELECT {DAY_KEY}, ct AS declared_trade_data, cm AS declared_market_data,

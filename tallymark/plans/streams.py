@@ -18,6 +18,7 @@ from ..sources import codec
 from ..sources.readers import read_control
 from ..sources.writers import write_messages
 from ..streaming import run
+from ..streaming.aggregate import end_states
 from ..streaming.snapshot import delivery_snapshot
 from . import events, orders
 from .tables import table_stream
@@ -74,6 +75,15 @@ def stream_expiry(spark: SparkSession, folder: str) -> DataFrame:
     return run.read_changes(spark, path).drop("batch_id", "at")
 
 
+def stream_end_states(spark: SparkSession, folder: str) -> DataFrame:
+    """Final counts of each user's day a day after its last message, without Python."""
+    path, checkpoint = new_table_path(spark, "ends"), new_table_path(spark, "checkpoint")
+    with run.state_store(spark, "rocksdb"):
+        ended = end_states(*_event_streams(spark, folder), ttl=timedelta(days=1), delay="1 hour")
+        _finish(run.start_table(ended, path, checkpoint))
+    return run.read_changes(spark, path).drop("batch_id").withColumn("last_ts", F.col("last_ts").cast("timestamp_ntz"))
+
+
 def state_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """The keyed state a finished reconciliation of events left in its checkpoint."""
     path, checkpoint = new_table_path(spark, "state"), new_table_path(spark, "checkpoint")

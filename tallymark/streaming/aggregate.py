@@ -1,8 +1,9 @@
-"""Streaming reconciliation as a keyed aggregation, entirely inside the JVM."""
+"""Streaming reconciliation as keyed aggregations, entirely inside the JVM."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -11,32 +12,21 @@ from ..operators.reconcile import completed
 from .feed import delivery_feed
 
 
-def aggregate_reconcile(
-    control: DataFrame,
-    data: DataFrame,
-    keys: Sequence[str] = M.KEYS,
-    types: Sequence[str] = M.TYPES,
-    ts: str = "ts",
-    seq: str | None = None,
-    missing: str = "zero",
-) -> DataFrame:
-    """Current counts and status of every request, updated each micro-batch.
-
-    Run it in update mode for requests that changed or in complete mode for a
-    snapshot of all. The work of a micro-batch follows the number of changed
-    requests, counts are combined map-side before the one shuffle, and the state holds
-    one row per request for as long as the query lives (``stateful`` bounds it).
-    """
-    feed = delivery_feed(control, data, keys, types, ts, seq, missing)
+def _counted(feed: DataFrame, groups: Sequence, types: Sequence[str], seq: str | None) -> DataFrame:
+    """Newest declaration and received totals per group, in one aggregation."""
     when = F.col("ts") if seq is None else F.struct("ts", "seq")
     newest = F.when(F.col("is_control"), when)
-    counted = feed.groupBy(*keys).agg(
+    return feed.groupBy(*groups).agg(
         *[F.max_by(M.declared_column(t), newest).alias(M.declared_column(t)) for t in types],
         *[F.sum(M.received_column(t)).alias(M.received_column(t)) for t in types],
         F.count(F.when(F.col("is_control"), F.lit(1))).alias("n_control"),
         F.count(F.when(~F.col("is_control"), F.lit(1))).alias("n_data"),
         F.max("ts").alias("last_ts"),
     )
+
+
+def with_status(counted: DataFrame, keys: Sequence[str], types: Sequence[str]) -> DataFrame:
+    """Counted groups with the status their counts amount to."""
     has_control = F.col("n_control") > 0
     has_data = F.col("n_data") > 0
     return counted.select(
@@ -50,6 +40,26 @@ def aggregate_reconcile(
     )
 
 
+def aggregate_reconcile(
+    control: DataFrame,
+    data: DataFrame,
+    keys: Sequence[str] = M.KEYS,
+    types: Sequence[str] = M.TYPES,
+    ts: str = "ts",
+    seq: str | None = None,
+    missing: str = "zero",
+) -> DataFrame:
+    """Current counts and status of every request, updated each micro-batch.
+
+    Run it in update mode for requests that changed or in complete mode for a
+    snapshot of all. The work of a micro-batch follows the number of changed
+    requests, counts are combined map-side before the one shuffle, and the state holds
+    one row per request for as long as the query lives (``stateful`` bounds it).
+    """
+    feed = delivery_feed(control, data, keys, types, ts, seq, missing)
+    return with_status(_counted(feed, keys, types, seq), keys, types)
+
+
 def aggregate_completed(
     control: DataFrame,
     data: DataFrame,
@@ -64,3 +74,28 @@ def aggregate_completed(
     Two stateful steps in a row: start it under ``state_store("hdfs")``.
     """
     return completed(aggregate_reconcile(control, data, keys, types, ts, seq, missing)).dropDuplicates(list(keys))
+
+
+def end_states(
+    control: DataFrame,
+    data: DataFrame,
+    ttl: timedelta,
+    keys: Sequence[str] = M.KEYS,
+    types: Sequence[str] = M.TYPES,
+    ts: str = "ts",
+    seq: str | None = None,
+    missing: str = "zero",
+    delay: str = "5 seconds",
+) -> DataFrame:
+    """Final counts and status of each request once it has been idle for ``ttl`` (append mode).
+
+    A request's messages with no gap of ``ttl`` between them are one session window, and
+    Spark drops its state when the watermark passes the window's end. Nothing is told
+    before that; ``stateful_reconcile`` announces completion at once. A status other
+    than COMPLETE means the request expired in that state. Spark sets the window to
+    end ``ttl`` after the last message.
+    """
+    feed = delivery_feed(control, data, keys, types, ts, seq, missing).withWatermark("ts", delay)
+    gap = f"{int(ttl / timedelta(milliseconds=1))} milliseconds"
+    sessions = _counted(feed, [*keys, F.session_window("ts", gap)], types, seq)
+    return with_status(sessions, keys, types)

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
+from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor
 
 COMPLETE = "COMPLETE"
@@ -32,16 +32,49 @@ def combine_batches(batches, keys, declared, received):
             yield controls.sort_values(["us", "seq"]).drop_duplicates(keys, keep="last")[batch.columns]
 
 
+class Delivery:
+    """The state of one request while it is being worked on."""
+
+    def __init__(self, width, stored):
+        if stored is None:
+            self.declared, self.control = None, None
+            self.received = [0] * width
+            self.last_us = self.timer_ms = None
+            self.done = False
+            return
+        declared, received = stored[:width], stored[width : 2 * width]
+        control_us, control_seq, self.last_us, self.timer_ms, self.done = stored[2 * width :]
+        self.control = None if control_us is None else (control_us, control_seq)
+        self.declared = None if control_us is None else list(declared)
+        self.received = list(received)
+
+    def stored(self):
+        declared = self.declared or [None] * len(self.received)
+        return (*declared, *self.received, *(self.control or (None, None)), self.last_us, self.timer_ms, self.done)
+
+    def declare(self, counts, us, seq):
+        """A control message replaces the current one unless it is older."""
+        if self.control is None or (us, seq) >= self.control:
+            self.declared, self.control = list(counts), (us, seq)
+
+    def receive(self, counts, us):
+        self.received = [have + more for have, more in zip(self.received, counts)]
+        self.last_us = us if self.last_us is None else max(self.last_us, us)
+
+    def complete(self):
+        return not self.done and self.declared == self.received
+
+
 class DeliveryProcessor(StatefulProcessor):
     """Holds one request's newest declaration and received counts until complete or idle too long.
 
-    State: declared counts (null before the first control message), their time and
-    sequence number, received counts, time of the last message, the pending timer,
-    and whether completion has been announced.
+    State: declared counts (null before the first control message), received counts,
+    time and sequence number of the control message, time of the last message, the
+    pending timer, and whether completion has been announced.
     """
 
     def __init__(self, keys, declared, received, ttl_ms, per_message, reset_on_complete):
-        self.keys = list(keys)
+        self.output = [*keys, "status", *declared, *received, "at_us"]
         self.declared = list(declared)
         self.received = list(received)
         self.ttl_ms = ttl_ms
@@ -55,131 +88,53 @@ class DeliveryProcessor(StatefulProcessor):
             "delivery", f"{counts}, control_us bigint, control_seq bigint, last_us bigint, timer_ms bigint, done boolean"
         )
 
-    def _load(self):
-        n = len(self.declared)
-        if not self.state.exists():
-            return {"declared": None, "received": np.zeros(n, "int64"), "control": None, "last": None, "timer": None, "done": False}
-        row = self.state.get()
-        declared, received = row[:n], row[n : 2 * n]
-        control_us, control_seq, last, timer, done = row[2 * n :]
-        return {
-            "declared": None if control_us is None else np.array(declared, "int64"),
-            "received": np.array(received, "int64"),
-            "control": None if control_us is None else (control_us, control_seq),
-            "last": last,
-            "timer": timer,
-            "done": done,
-        }
-
-    def _save(self, state):
-        declared = state["declared"]
-        control_us, control_seq = state["control"] or (None, None)
-        self.state.update(
-            (
-                *([None] * len(self.declared) if declared is None else [int(n) for n in declared]),
-                *[int(n) for n in state["received"]],
-                control_us,
-                control_seq,
-                state["last"],
-                state["timer"],
-                state["done"],
-            )
-        )
+    def _row(self, key, status, delivery, at_us):
+        declared = delivery.declared or [0] * len(self.declared)
+        return Row(*self.output)(*key, status, *declared, *delivery.received, at_us)
 
-    def _restart_timer(self, state):
-        if self.ttl_ms is None:
-            return
-        if state["timer"] is not None:
-            self.handle.deleteTimer(state["timer"])
-        state["timer"] = state["last"] // 1000 + self.ttl_ms
-        self.handle.registerTimer(state["timer"])
-
-    def _row(self, key, status, state, at_us):
-        declared = state["declared"]
-        values = [
-            *key,
-            status,
-            *([0] * len(self.declared) if declared is None else [int(n) for n in declared]),
-            *[int(n) for n in state["received"]],
-            int(at_us),
-        ]
-        return pd.DataFrame([values], columns=[*self.keys, "status", *self.declared, *self.received, "at_us"])
-
-    def _announce(self, key, state, at_us):
-        row = self._row(key, COMPLETE, state, at_us)
+    def _announce(self, key, delivery, at_us):
+        row = self._row(key, COMPLETE, delivery, at_us)
         if self.reset_on_complete:
-            state["received"] = np.zeros(len(self.received), "int64")
+            delivery.received = [0] * len(self.received)
         else:
-            state["done"] = True
+            delivery.done = True
         return row
 
-    def _declare(self, state, row_declared, order):
-        if state["control"] is None or order >= state["control"]:
-            state["declared"], state["control"] = row_declared, order
-
-    def _complete(self, state):
-        return state["declared"] is not None and bool((state["declared"] == state["received"]).all())
-
-    def _take_whole_batch(self, key, rows, state):
-        """Add everything the micro-batch holds, then look once; memory does not grow with the rows."""
-        changed_us = None
-        for frame in rows:
-            is_control = frame["is_control"].to_numpy(dtype=bool)
-            state["received"] = state["received"] + frame[self.received].to_numpy("int64").sum(axis=0)
-            for us, seq, *declared in frame.loc[is_control, ["us", "seq", *self.declared]].itertuples(index=False):
-                self._declare(state, np.array(declared, "int64"), (int(us), int(seq)))
-            newest = int(frame["us"].max())
-            changed_us = newest if changed_us is None else max(changed_us, newest)
-        state["last"] = changed_us if state["last"] is None else max(state["last"], changed_us)
-        if not state["done"] and self._complete(state):
-            yield self._announce(key, state, changed_us)
-
-    def _take_each_message(self, key, rows, state):
-        """Look after every message, in order of time, control first, then sequence number."""
-        frame = pd.concat(list(rows), ignore_index=True)
-        is_control = frame["is_control"].to_numpy(dtype=bool)
-        us, seq = frame["us"].to_numpy("int64"), frame["seq"].to_numpy("int64")
-        order = np.lexsort((seq, ~is_control, us))
-        flags = frame[self.received].to_numpy("int64")[order]
-        us, seq, is_control = us[order], seq[order], is_control[order]
-        declared = frame[self.declared].iloc[order]
-        newest = int(us[-1])
-        state["last"] = newest if state["last"] is None else max(state["last"], newest)
-        # Between two control messages the declaration is fixed, so a run of data
-        # messages is searched with one cumulative sum.
-        starts = np.flatnonzero(is_control)
-        edges = sorted({0, len(us), *starts.tolist(), *(starts + 1).tolist()})
-        for begin, end in zip(edges, edges[1:]):
-            if is_control[begin]:
-                new = declared.iloc[begin].to_numpy("int64")
-                self._declare(state, new, (int(us[begin]), int(seq[begin])))
-            at = begin
-            while at < end:
-                totals = state["received"] + np.cumsum(flags[at:end], axis=0)
-                hits = (
-                    np.flatnonzero((totals == state["declared"]).all(axis=1))
-                    if state["declared"] is not None and not state["done"]
-                    else []
-                )
-                if not len(hits):
-                    state["received"] = totals[-1]
-                    break
-                state["received"] = totals[hits[0]]
-                at += int(hits[0]) + 1
-                yield self._announce(key, state, us[at - 1])
+    def _take(self, row, delivery):
+        if row.is_control:
+            delivery.declare([row[name] for name in self.declared], row.us, row.seq)
+        delivery.receive([row[name] for name in self.received], row.us)
 
     def handleInputRows(self, key, rows, timerValues):
-        state = self._load()
-        take = self._take_each_message if self.per_message else self._take_whole_batch
-        yield from take(key, rows, state)
-        self._restart_timer(state)
-        self._save(state)
+        delivery = Delivery(len(self.declared), self.state.get())
+        if self.per_message:
+            rows = sorted(rows, key=lambda row: (row.us, not row.is_control, row.seq))
+        newest_us = None
+        for row in rows:
+            self._take(row, delivery)
+            newest_us = row.us if newest_us is None else max(newest_us, row.us)
+            if self.per_message and delivery.complete():
+                yield self._announce(key, delivery, row.us)
+        if not self.per_message and delivery.complete():
+            yield self._announce(key, delivery, newest_us)
+        self._restart_timer(delivery)
+        self.state.update(delivery.stored())
+
+    def _restart_timer(self, delivery):
+        if self.ttl_ms is None:
+            return
+        due = delivery.last_us // 1000 + self.ttl_ms
+        if due != delivery.timer_ms:
+            if delivery.timer_ms is not None:
+                self.handle.deleteTimer(delivery.timer_ms)
+            self.handle.registerTimer(due)
+            delivery.timer_ms = due
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        state = self._load()
+        delivery = Delivery(len(self.declared), self.state.get())
         self.state.clear()
-        if not state["done"]:
-            yield self._row(key, EXPIRED, state, expiredTimerInfo.getExpiryTimeInMs() * 1000)
+        if not delivery.done:
+            yield self._row(key, EXPIRED, delivery, expiredTimerInfo.getExpiryTimeInMs() * 1000)
 
     def close(self):
         pass

@@ -17,27 +17,33 @@ from .stateful import stateful_reconcile
 
 _PROVIDER_SETTING = "spark.sql.streaming.stateStore.providerClass"
 _STATE_PACKAGE = "org.apache.spark.sql.execution.streaming.state"
+# RocksDB keeps state on disk; with a changelog a commit uploads what changed, not the whole store.
 PROVIDERS = {
-    "hdfs": f"{_STATE_PACKAGE}.HDFSBackedStateStoreProvider",
-    "rocksdb": f"{_STATE_PACKAGE}.RocksDBStateStoreProvider",
+    "hdfs": {_PROVIDER_SETTING: f"{_STATE_PACKAGE}.HDFSBackedStateStoreProvider"},
+    "rocksdb": {
+        _PROVIDER_SETTING: f"{_STATE_PACKAGE}.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    },
 }
 
 
 @contextmanager
 def state_store(spark: SparkSession, provider: str) -> Iterator[None]:
-    """Queries started inside use the provider; the session's own setting comes back after.
+    """Queries started inside use the provider; the session's own settings come back after.
 
-    A query reads the setting once, when it starts, and keeps it in its checkpoint.
+    A query reads the settings once, when it starts, and keeps the provider in its checkpoint.
     """
-    before = spark.conf.get(_PROVIDER_SETTING, None)
-    spark.conf.set(_PROVIDER_SETTING, PROVIDERS[provider])
+    before = {name: spark.conf.get(name, None) for name in PROVIDERS[provider]}
+    for name, value in PROVIDERS[provider].items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER_SETTING)
-        else:
-            spark.conf.set(_PROVIDER_SETTING, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def stream_reconcile(control: DataFrame, data: DataFrame, ttl: timedelta | None = None, **settings) -> DataFrame:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions import counters as C, messages as M
+from ..functions import messages as M
+from .aggregate import with_status
 
 
 def state_snapshot(
@@ -19,14 +20,33 @@ def state_snapshot(
     """Every live request with its state as of a committed micro-batch (the last by default).
 
     ``state_variable="delivery"`` reads the state of ``stateful_reconcile``; leave it out
-    for an aggregation.
+    for an aggregation. An aggregation stores several fields under one name; the second
+    one named ``sum`` comes out as ``sum_2``, and so on.
     """
+    # The reader asks the session's streaming manager where live state sits; this
+    # makes sure there is one even before the session's first streaming query.
+    spark.streams
     reader = spark.read.format("statestore").option("operatorId", operator_id)
     if state_variable:
         reader = reader.option("stateVarName", state_variable)
     if batch_id is not None:
         reader = reader.option("batchId", batch_id)
-    return reader.load(checkpoint).select("key.*", "value.*")
+    stored = reader.load(checkpoint)
+    # Expanding value.* resolves by name and would read the first of several fields
+    # of one name for all of them, so names are made unique by position first.
+    value = F.col("value").cast(_unique_names(stored.schema["value"].dataType))
+    return stored.select("key", value.alias("value")).select("key.*", "value.*")
+
+
+def _unique_names(struct: T.StructType) -> T.StructType:
+    seen: dict[str, int] = {}
+    fields = []
+    for field in struct.fields:
+        seen[field.name] = seen.get(field.name, 0) + 1
+        repeat = seen[field.name]
+        name = field.name if repeat == 1 else f"{field.name}_{repeat}"
+        fields.append(T.StructField(name, field.dataType, field.nullable))
+    return T.StructType(fields)
 
 
 def delivery_snapshot(
@@ -46,14 +66,4 @@ def delivery_snapshot(
     received = [M.received_column(t) for t in types]
     newest = [name for d in declared for name in (d, f"_when_{d}")]
     named = stored.toDF(*keys, *newest, *received, "n_control", "n_data", "last_ts")
-    has_control = F.col("n_control") > 0
-    has_data = F.col("n_data") > 0
-    return named.select(
-        *keys,
-        *[C.or_zero(F.col(name)).alias(name) for name in declared],
-        *received,
-        has_control.alias("has_control"),
-        has_data.alias("has_data"),
-        "last_ts",
-        C.delivery_status(has_control, has_data, types).alias("status"),
-    )
+    return with_status(named, keys, types)

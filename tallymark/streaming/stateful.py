@@ -65,7 +65,7 @@ def stateful_reconcile(
             "at_us bigint",
         ]
     )
-    changes = feed.groupBy(*keys).transformWithStateInPandas(
+    changes = feed.groupBy(*keys).transformWithState(
         statefulProcessor=processor.DeliveryProcessor(
             key_names, declared, received, ttl_ms, per_message, reset_on_complete
         ),
