@@ -21,19 +21,17 @@ cloudpickle.register_pickle_by_value(wire)
 
 
 def _arrow_decoder(message: str, schema: str) -> Callable[[Column], Column]:
-    @F.arrow_udf(schema)
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         return wire.decode_batches(message, batches)
 
-    return decode
+    return lambda payload: F.arrow_udf(decode, schema)(payload)
 
 
 def _arrow_encoder(message: str) -> Callable[[Column], Column]:
-    @F.arrow_udf("binary")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         return wire.encode_batches(message, batches)
 
-    return encode
+    return lambda body: F.arrow_udf(encode, "binary")(body)
 
 
 def arrow_decoders() -> MessageCodec:
