@@ -107,6 +107,12 @@ class DeliveryProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         delivery = Delivery(len(self.declared), self.state.get())
+        if delivery.timer_ms is not None and delivery.timer_ms <= timerValues.getCurrentWatermarkInMs():
+            # The watermark passed while the request was idle, but Spark hands over new
+            # rows before it fires timers: what was held has expired already.
+            yield from self._expire(key, delivery)
+            self.handle.deleteTimer(delivery.timer_ms)
+            delivery = Delivery(len(self.declared), None)
         if self.per_message:
             rows = sorted(rows, key=lambda row: (row.us, not row.is_control, row.seq))
         newest_us = None
@@ -130,11 +136,14 @@ class DeliveryProcessor(StatefulProcessor):
             self.handle.registerTimer(due)
             delivery.timer_ms = due
 
+    def _expire(self, key, delivery):
+        if not delivery.done:
+            yield self._row(key, EXPIRED, delivery, delivery.timer_ms * 1000)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         delivery = Delivery(len(self.declared), self.state.get())
         self.state.clear()
-        if not delivery.done:
-            yield self._row(key, EXPIRED, delivery, expiredTimerInfo.getExpiryTimeInMs() * 1000)
+        yield from self._expire(key, delivery)
 
     def close(self):
         pass
