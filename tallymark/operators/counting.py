@@ -30,12 +30,16 @@ def to_data_messages(
     type: Column,
     ts: Column | None = None,
     extra: Sequence[str] = (),
-    types: Sequence[str] = M.TYPES,
+    types: Sequence[str] | None = M.TYPES,
 ) -> DataFrame:
-    """Shape any table as data messages: key, type, id, value text, and time where there is one."""
+    """Shape any table as data messages: key, type, id, value text, and time where there is one.
+
+    ``types=None`` says that ``type`` already holds nothing but known names and
+    UNRECOGNIZED, which spares every row the check.
+    """
     columns = [
         *keys,
-        M.normalise_type(type, types).alias("type"),
+        (type if types is None else M.normalise_type(type, types)).alias("type"),
         M.record_id(number).alias("id"),
         M.text_or_empty(value.cast("string")).alias("value"),
     ]

@@ -191,10 +191,9 @@ def _edges_of_snapshots(
         .agg(F.sum("_vote.now").alias("_now"), F.sum("_vote.before").alias("_before"))
         .where(F.col("_now") + F.col("_before") == 1)
     )
-    # One row, so the broadcast is of fixed size.
-    return (
-        tally.join(F.broadcast(horizon), F.col(ts) <= F.col("_horizon"))
-        .select(*keys, ts, F.when(F.col("_now") == 1, F.lit(RISING)).otherwise(F.lit(FALLING)).alias("edge"))
+    # The last snapshot's time is a single value, computed once as a scalar subquery.
+    return tally.where(F.col(ts) <= horizon.scalar()).select(
+        *keys, ts, F.when(F.col("_now") == 1, F.lit(RISING)).otherwise(F.lit(FALLING)).alias("edge")
     )
 
 

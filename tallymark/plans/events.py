@@ -24,7 +24,7 @@ def event_type(column: Column) -> Column:
     )
 
 
-def event_messages(events: DataFrame, keep_id: bool = False) -> DataFrame:
+def event_messages(events: DataFrame) -> DataFrame:
     """Every event as a data message of its user and day; ``seq`` is the event's number."""
     keyed = events.withColumns({"day": F.col("ts").cast("date"), "seq": F.col("event_id")})
     return counting.to_data_messages(
@@ -35,6 +35,7 @@ def event_messages(events: DataFrame, keep_id: bool = False) -> DataFrame:
         type=event_type(F.col("event_type")),
         ts=F.col("ts"),
         extra=("seq",),
+        types=None,
     )
 
 
@@ -133,19 +134,21 @@ def _envelopes(spark: SparkSession, folder: str, encoders: codec.MessageCodec) -
     )
 
 
-def _decoded(raw: DataFrame, decoders: codec.MessageCodec) -> DataFrame:
-    good, bad = codec.quarantine(codec.decode_messages(raw, codec.DATA, decoders))
-    blank = [F.lit(None).cast("string").alias(name) for name in (*M.KEYS, "type", "id", "value")]
-    return good.select("offset", *M.KEYS, "type", "id", "value", F.lit(None).cast("string").alias("error")).unionByName(
-        bad.select("offset", *blank, "error")
-    )
+def decode_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """JSON envelopes decoded in one pass; a reject has its reason and no message."""
+    decoded = codec.decode_messages(_envelopes(spark, folder, codec.JSON_ENCODERS), codec.DATA)
+    return decoded.drop("ts", "raw_key", "raw_value")
 
 
-def decode_quarantine(spark: SparkSession, folder: str) -> DataFrame:
-    """JSON envelopes decoded, good messages and rejects side by side."""
-    return _decoded(_envelopes(spark, folder, codec.JSON_ENCODERS), codec.JSON_DECODERS)
+def quarantined(spark: SparkSession, folder: str) -> DataFrame:
+    """The rejected envelopes alone, with the bytes that arrived as text."""
+    decoded = codec.decode_messages(_envelopes(spark, folder, codec.JSON_ENCODERS), codec.DATA)
+    _, bad = codec.quarantine(decoded)
+    return bad.select("offset", "error", *[F.col(name).cast("string").alias(name) for name in ("raw_key", "raw_value")])
 
 
 def decode_protobuf(spark: SparkSession, folder: str) -> DataFrame:
     """The same envelopes in the binary wire format."""
-    return _decoded(_envelopes(spark, folder, protobuf.arrow_encoders()), protobuf.arrow_decoders())
+    raw = _envelopes(spark, folder, protobuf.arrow_encoders())
+    decoded = codec.decode_messages(raw, codec.DATA, protobuf.arrow_decoders())
+    return decoded.drop("ts", "raw_key", "raw_value")

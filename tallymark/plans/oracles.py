@@ -217,6 +217,18 @@ ORACLES = {
                CAST(sum(t) AS BIGINT) AS received_trade_data, CAST(sum(m) AS BIGINT) AS received_market_data
         FROM starts GROUP BY user_id, start""",
     "decode_quarantine": _DECODED,
+    "quarantined": """
+        WITH sent AS (
+          SELECT event_id, event_id % 100 AS damage,
+                 concat('{"ReqId":"REQ-', user_id, '","FOId":"FO-', CAST(CAST(ts AS DATE) AS VARCHAR), '"}') AS k,
+                 concat('{"Type":"', CASE WHEN event_type = 'purchase' THEN 'TRADE_DATA' ELSE 'MARKET_DATA' END,
+                        '","Id":"Trade-', event_id, '","Value":"', json_extract_string(props, '$.k'), '"}') AS v
+          FROM events)
+        SELECT event_id AS "offset",
+               CASE damage WHEN 0 THEN 'BAD_VALUE' WHEN 1 THEN 'NULL_VALUE' WHEN 2 THEN 'BAD_KEY' ELSE 'NULL_KEY' END AS error,
+               CASE damage WHEN 2 THEN '{' WHEN 3 THEN NULL ELSE k END AS raw_key,
+               CASE damage WHEN 0 THEN substring(v, 1, 5) WHEN 1 THEN NULL ELSE v END AS raw_value
+        FROM sent WHERE damage <= 3""",
     "decode_protobuf": _DECODED,
     "stream_reconcile": _with_reconciled(
         f"""SELECT {ORDER_KEY}, declared_trade_data, declared_market_data, received_trade_data,

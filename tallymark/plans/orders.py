@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions import messages as M, statistics as S
+from ..functions import counters as C, messages as M, statistics as S
 from ..operators import counting, reconcile as R
 from .tables import table
 
@@ -20,8 +20,8 @@ def line_type(status: Column) -> Column:
 
 
 def item_messages(lineitem: DataFrame) -> DataFrame:
-    """Every line item as a data message of its order."""
-    keyed = lineitem.withColumn("order_key", F.col("l_orderkey"))
+    """Every line item as a data message of its order; a null key would be no message."""
+    keyed = lineitem.where(F.col("l_orderkey").isNotNull()).withColumn("order_key", F.col("l_orderkey"))
     return counting.to_data_messages(
         keyed,
         keys=KEYS,
@@ -29,6 +29,7 @@ def item_messages(lineitem: DataFrame) -> DataFrame:
         value=F.col("l_quantity").cast("bigint"),
         type=line_type(F.col("l_linestatus")),
         ts=F.col("l_shipdate"),
+        types=None,
     )
 
 
@@ -44,18 +45,25 @@ def control(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderkey").alias("order_key"), F.col("o_orderdate").alias("ts")
     )
     digit = F.col("order_key") % 10
-    trades = F.coalesce(F.col(M.received_column(TRADE)), F.lit(0))
-    market = F.coalesce(F.col(M.received_column(MARKET)), F.lit(0))
+    trades = C.or_zero(F.col(M.received_column(TRADE)))
     announced = (
-        F.when(digit == 0, trades + 1).when(digit == 1, F.greatest(trades - 1, F.lit(0))).otherwise(trades)
+        F.when(digit == 0, trades + 1)
+        .when(digit == 1, F.greatest(trades - 1, F.lit(0)))
+        .when(digit != 2, trades)
     )
+    # Orders without announcement are dropped by the computed count, after the join: a
+    # condition on the key alone would also filter this side's line items, and Spark could
+    # no longer share one scan and one shuffle of them with the received counts.
     return (
-        orders.where(digit != 2)
-        .join(counts, list(KEYS), "left")
+        orders.join(counts, list(KEYS), "left")
+        .withColumn("announced", announced)
+        .where(F.col("announced").isNotNull())
         .select(
             "order_key",
             F.concat(F.lit(M.OFFICE_NAME_PREFIX), digit.cast("string")).alias("fo_name"),
-            S.build_statistics({TRADE: announced, MARKET: market}).alias("statistics"),
+            S.build_statistics(
+                {TRADE: F.col("announced"), MARKET: C.or_zero(F.col(M.received_column(MARKET)))}
+            ).alias("statistics"),
             "ts",
         )
     )
