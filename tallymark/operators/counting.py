@@ -59,11 +59,24 @@ def type_counts(data: DataFrame, keys: Sequence[str] = M.KEYS, types: Sequence[s
     )
 
 
-def control_totals(data: DataFrame, keys: Sequence[str] = M.KEYS, types: Sequence[str] = M.TYPES) -> DataFrame:
-    """Control message body each request should announce: a map holding a count for every type."""
-    counts = type_counts(data, keys, types)
+def control_totals(
+    data: DataFrame,
+    keys: Sequence[str] = M.KEYS,
+    types: Sequence[str] = M.TYPES,
+    ts: str | None = None,
+) -> DataFrame:
+    """Control message body each request should announce: a map holding a count for every type.
+
+    With ``ts`` the announcement also gets the time of the request's first record.
+    """
+    counts = {t: C.count_of_type(F.col("type"), t).alias(M.received_column(t)) for t in types}
+    first = [] if ts is None else [F.min(ts).alias(ts)]
     statistics = S.build_statistics({t: F.col(M.received_column(t)) for t in types})
-    return counts.select(*keys, statistics.alias("statistics"))
+    return (
+        data.groupBy(*keys)
+        .agg(*counts.values(), *first)
+        .select(*keys, statistics.alias("statistics"), *([] if ts is None else [ts]))
+    )
 
 
 def explode_statistics(control: DataFrame, keys: Sequence[str] = M.KEYS) -> DataFrame:

@@ -166,6 +166,13 @@ ORACLES = {
         f"SELECT {ORDER_KEY}, declared_trade_data, declared_market_data FROM reconciled WHERE NOT has_data"
     ),
     "dedup_reconcile": _with_reconciled(f"SELECT {_RECONCILED_COLUMNS} FROM reconciled", _UNIQUE_ITEMS),
+    "published_status": f"""
+        WITH {_COUNTS.format(items="lineitem")}
+        SELECT {ORDER_KEY}, dt AS declared_trade_data, dm AS declared_market_data,
+               dt AS received_trade_data, dm AS received_market_data,
+               CAST(0 AS BIGINT) AS delta_trade_data, CAST(0 AS BIGINT) AS delta_market_data,
+               TRUE AS has_control, TRUE AS has_data, 'COMPLETE' AS status
+        FROM counts""",
     "running_counts": f"""
         WITH {_DATA}
         SELECT {DAY_KEY}, ts, seq, CAST(sum(t) OVER so_far AS BIGINT) AS running_trade_data,

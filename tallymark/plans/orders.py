@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import counters as C, messages as M, statistics as S
 from ..operators import counting, reconcile as R
+from ..session import new_table_path
+from ..sources import codec
+from ..sources.readers import read_control, read_data
+from .delivery import publish_delivery
 from .tables import table
 
 KEYS = ("order_key",)
@@ -194,3 +198,12 @@ def control_without_data(spark: SparkSession, folder: str) -> DataFrame:
 def dedup_reconcile(spark: SparkSession, folder: str) -> DataFrame:
     unique = R.dedup_data(data(spark, folder), KEYS)
     return render_key(R.reconcile(control(spark, folder), unique, KEYS))
+
+
+def published_status(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items published as encoded topics with their true totals, read back and reconciled."""
+    topics = new_table_path(spark, "delivery")
+    publish_delivery(render_key(data(spark, folder)), F.lit("fo-0"), "parquet", topics)
+    control_in, _ = codec.quarantine(read_control(spark, "parquet", f"{topics}/{M.CONTROL_TOPIC}", streaming=False))
+    data_in, _ = codec.quarantine(read_data(spark, "parquet", f"{topics}/{M.DATA_TOPIC}", streaming=False))
+    return R.reconcile(control_in, data_in)

@@ -99,6 +99,12 @@ def decode_messages(raw: DataFrame, kind: str, decoders: MessageCodec = JSON_DEC
         _failure(parsed, "_key", "raw_key", NULL_KEY, BAD_KEY),
         _failure(parsed, "_value", "raw_value", NULL_VALUE, BAD_VALUE),
     )
+    # A filter on the error would move below the parsing and parse everything twice.
+    # Filters do not move across a generator, so a one-element one keeps it at once.
+    once = F.explode(F.array(F.struct("_key", "_value", error.alias("error")))).alias("_message")
+    flagged = parsed.select("raw_key", "raw_value", "ts", *carried, once).select(
+        "raw_key", "raw_value", "ts", *carried, "_message.*"
+    )
     fields = {
         "req_id": M.text_or_empty(F.col("_key.ReqId")),
         "fo_id": M.text_or_empty(F.col("_key.FOId")),
@@ -113,7 +119,6 @@ def decode_messages(raw: DataFrame, kind: str, decoders: MessageCodec = JSON_DEC
         fields["value"] = M.text_or_empty(F.col("_value.Value"))
     else:
         raise ValueError(f"kind must be {CONTROL} or {DATA}, not {kind!r}")
-    flagged = parsed.withColumn("error", error)
     decoded = {name: F.when(F.col("error").isNull(), column).alias(name) for name, column in fields.items()}
     return flagged.select(*decoded.values(), "ts", *carried, "error", "raw_key", "raw_value")
 

@@ -70,4 +70,11 @@ def jvm_decoders() -> MessageCodec:
 
 
 def jvm_encoders() -> MessageCodec:
-    return MessageCodec(_jvm_encoder("MsgId"), _jvm_encoder("CtrlMsg"), _jvm_encoder("DataMsg"))
+    control = _jvm_encoder("CtrlMsg")
+
+    def narrowed(body: Column) -> Column:
+        # The connector wants the map's values to have the message's own width.
+        statistics = body["Statistics"].try_cast("map<string,int>")
+        return control(F.struct(body["FOName"].alias("FOName"), statistics.alias("Statistics")))
+
+    return MessageCodec(_jvm_encoder("MsgId"), narrowed, _jvm_encoder("DataMsg"))

@@ -11,7 +11,8 @@ from tallymark.operators import counting, reconcile as R
 from tallymark.plans import orders
 from tallymark.streaming.feed import delivery_feed
 
-STREAMS = {"stream_reconcile", "stream_completed", "stream_expiry", "stream_end_states", "state_snapshot"}
+# These run jobs of their own before they return a frame.
+STREAMS = {"stream_reconcile", "stream_completed", "stream_expiry", "stream_end_states", "state_snapshot", "published_status"}
 BATCH = sorted(set(contract.queries()) - STREAMS)
 
 
