@@ -36,13 +36,10 @@ class Tiled:
     hot: DataFrame | None
 
 
-def _size_limit(sizes: DataFrame, hot_rows: int) -> int | None:
-    """Row count above which a group is hot, or None when no group is."""
-    total, largest = sizes.agg(F.sum("_n"), F.max("_n")).first()
-    if largest is None or largest <= hot_rows:
-        return None
-    limit = max(hot_rows, total // MAX_HOT)
-    return limit if largest > limit else None
+def _large_groups(rows: DataFrame, groups: Sequence[str], least: int) -> DataFrame:
+    """Groups of more than ``least`` rows with their sizes, frozen; at most rows / least of them."""
+    sizes = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
+    return sizes.where(F.col("_n") > least).repartition(1).checkpoint()
 
 
 def _cut_points(rows: DataFrame, groups: Sequence[str], position: str) -> DataFrame:
@@ -81,13 +78,15 @@ def split_hot_keys(
     plain = Tiled(df.withColumn(TILE, F.lit(0)), None)
     if hot_rows is None:
         return plain
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    limit = _size_limit(sizes, hot_rows)
-    if limit is None:
-        return plain
-
     shared_folder(df.sparkSession)
-    hot = sizes.where(F.col("_n") > limit).select(*keys).repartition(1).checkpoint()
+    large = _large_groups(df, keys, hot_rows)
+    total, largest = large.agg(F.sum("_n"), F.max("_n")).first()
+    # A timeline with less than its share of the large ones' rows is not what holds a
+    # stage up, and the share keeps the number of hot requests below MAX_HOT.
+    limit = max(hot_rows, (total or 0) // MAX_HOT)
+    if (largest or 0) <= limit:
+        return plain
+    hot = large.where(F.col("_n") > limit).select(*keys)
     hot_df = df.join(F.broadcast(hot), list(keys), "left_semi")
     cuts = _cut_points(hot_df, keys, position)
 
@@ -100,8 +99,7 @@ def split_hot_keys(
         return Tiled(rows, hot)
 
     moments = [*keys, position]
-    moment_sizes = hot_df.groupBy(*moments).agg(F.count(F.lit(1)).alias("_n"))
-    crowded = moment_sizes.where(F.col("_n") > limit).select(*moments).repartition(1).checkpoint()
+    crowded = _large_groups(hot_df, moments, limit).select(*moments)
     if crowded.isEmpty():
         return Tiled(rows, hot)
     tie_cuts = _cut_points(hot_df.join(F.broadcast(crowded), moments, "left_semi"), moments, tie)
