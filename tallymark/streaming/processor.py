@@ -21,7 +21,7 @@ def combine_batches(batches, keys, declared, received):
         records = batch[~is_control]
         if len(records):
             summed = records.groupby(keys, sort=False, as_index=False, dropna=False).agg(
-                {"ts": "max", "us": "max", "seq": "max", **{name: "sum" for name in received}}
+                {"us": "max", "seq": "max", **{name: "sum" for name in received}}
             )
             summed["is_control"] = False
             for name in declared:

@@ -45,7 +45,8 @@ def stateful_reconcile(
     """
     declared = [M.declared_column(t) for t in types]
     received = [M.received_column(t) for t in types]
-    feed = delivery_feed(control, data, keys, types, ts, seq, missing).withColumn("us", F.unix_micros("ts"))
+    # Times travel as numbers: pandas timestamps would pass through the session's time zone.
+    feed = delivery_feed(control, data, keys, types, ts, seq, missing).withColumn("us", F.unix_micros("ts")).drop("ts")
     key_names = list(keys)
     if not per_message:
 
@@ -54,7 +55,7 @@ def stateful_reconcile(
 
         feed = feed.mapInPandas(combine, feed.schema)
     if ttl is not None:
-        feed = feed.withWatermark("ts", delay)
+        feed = feed.withColumn("ts", F.timestamp_micros("us")).withWatermark("ts", delay)
     ttl_ms = None if ttl is None else int(ttl / timedelta(milliseconds=1))
     key_types = {field.name: field.dataType.simpleString() for field in feed.schema if field.name in key_names}
     output = ", ".join(

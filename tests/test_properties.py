@@ -189,7 +189,7 @@ def test_combining_keeps_counts_and_newest_control(rows):
     batch = pd.DataFrame(
         [
             {
-                "req_id": key(n)[0], "fo_id": key(n)[1], "ts": pd.Timestamp(ts, unit="s"), "seq": i,
+                "req_id": key(n)[0], "fo_id": key(n)[1], "seq": i,
                 "is_control": kind == "C",
                 **dict(zip(DECLARED, counts if kind == "C" else (None, None))),
                 **dict(zip(RECEIVED, (int(kind == "T"), int(kind == "M")))),
