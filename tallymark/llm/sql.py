@@ -39,6 +39,25 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND NOT rejected AS kept
 FROM f"""
 
+OP4 = rf"""
+WITH w AS (
+  SELECT doc_id, {_WORDS} AS ws FROM documents
+), p AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 49], ' ') AS win
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w WHERE len(ws) >= 50)
+), dup AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY win) AS a FROM p) WHERE a < doc_id
+), gone AS (
+  SELECT DISTINCT doc_id, i + k AS j FROM dup, (SELECT unnest(range(50)) AS k)
+), lost AS (
+  SELECT doc_id, list(j) AS js FROM gone GROUP BY doc_id
+)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(len(js), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(CASE WHEN js IS NULL THEN ws ELSE
+         list_transform(list_filter(list_zip(ws, range(1, len(ws) + 1)), lambda x: NOT list_contains(js, x[2])), lambda x: x[1])
+       END, ' ')) AS kept_sha256
+FROM w LEFT JOIN lost ON w.doc_id = lost.doc_id"""
+
 _CONTROL = r"\[INST\]|\[/INST\]|</?s>|<</?SYS>>|<<:>>|\\"
 
 OP6 = rf"""
@@ -73,6 +92,7 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM r"""
 
 ORACLES: dict[str, str] = {
+    "op4_substring_dedup": OP4,
     "op5_quality_rules": OP5,
     "op6_chat_formatting": OP6,
     "op10_warc": OP10,
