@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallymark.llm import byte_bpe, decontaminate, pii, quality
+from tallymark.llm import byte_bpe, decontaminate, jaccard, pii, quality
 from tallymark.llm.common import durable, table
 
 
@@ -14,6 +14,11 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.keep_good(docs, weights)
 
 
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that share shingles as the Jaccard join asks, directly or through others, the smallest id."""
+    return jaccard.one_of_each(docs)
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that hold no benchmark item; a row without an id holds nothing that could be reported, and stays."""
     found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -34,6 +39,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_classifier", good_quality),
+    ("ngram_jaccard_join", without_near_copies),
     ("benchmark_decontamination", decontaminated),
     ("pii", without_personal_data),
     ("byte_bpe", encoded),

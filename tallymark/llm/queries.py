@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, chat, decontaminate, pii, quality, rules, substrings, token_counts, warc
+from . import byte_bpe, chat, decontaminate, jaccard, pii, quality, rules, substrings, token_counts, warc
 from .common import table
 
 
@@ -25,6 +25,10 @@ def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, folder, "documents")).drop("fp")
+
+
 def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.repeated_substrings(table(spark, folder, "documents")).drop("kept")
 
@@ -65,6 +69,7 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_chat_formatting": op6_chat_formatting,

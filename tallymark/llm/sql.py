@@ -39,6 +39,27 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND NOT rejected AS kept
 FROM f"""
 
+OP3 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))) END) AS g
+  FROM w
+), n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), link AS MATERIALIZED (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n
+  HAVING 100 * count(*) >= 85 * (na.n + nb.n - count(*))
+), reach AS (
+  SELECT doc_id AS x, doc_id AS r FROM documents
+  UNION SELECT link.y, reach.r FROM reach JOIN link ON link.x = reach.x WHERE reach.r < link.y
+), least AS (SELECT x, min(r) AS component_id FROM reach GROUP BY x)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN least ON least.x = d.doc_id"""
+
 OP4 = rf"""
 WITH w AS (
   SELECT doc_id, {_WORDS} AS ws FROM documents
@@ -92,6 +113,7 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM r"""
 
 ORACLES: dict[str, str] = {
+    "op3_ngram_jaccard_join": OP3,
     "op4_substring_dedup": OP4,
     "op5_quality_rules": OP5,
     "op6_chat_formatting": OP6,
