@@ -47,18 +47,25 @@ def map_rows(
 
 
 class WordHashes(dict):
-    """64-bit hashes of UTF-8 words, remembered up to a bounded number."""
+    """64-bit hashes of UTF-8 words: numbers the words it meets and keeps their hashes by number."""
+
+    def __init__(self):
+        super().__init__()
+        self.hashes = np.zeros(1 << 16, dtype=np.uint64)
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = value
-        return value
+        if len(word) > 64:  # known by a hash, so that the table stays small
+            return self[b"\x00" + xxhash.xxh3_128_digest(word) + word[:32]]
+        number = self[word] = len(self)
+        if number == len(self.hashes):
+            self.hashes = np.concatenate([self.hashes] * 2)
+        self.hashes[number] = xxhash.xxh3_64_intdigest(word)
+        return number
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        return np.array(list(map(self.__getitem__, words)), dtype=np.uint64)
+        if len(self) > CACHE_WORDS:
+            self.clear()
+        return self.hashes[np.array(list(map(self.__getitem__, words)), dtype=np.int64)]
 
 
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)

@@ -7,8 +7,8 @@ Candidates. All sets order their shingles alike: rare ones first, by hash within
 sets link, the first ``prefix_length`` shingles of both have one in common, so a set is
 listed under those alone. A short list's members are searched pair by pair. A long list
 is first linked to leaders, members of about the same size, one candidate each; then only
-members of different components are searched, and of those only pairs whose parity
-sketches, an upper bound of their overlap, allow a link. Which shingles are common comes
+members of different components are searched. Pairs whose parity sketches, which bound
+their overlap from above, rule out a link are never looked at again. Which shingles are common comes
 from counting every shingle of every document; the order is right whatever it holds, so it
 is kept as a bitmap of fixed size, which is all that is broadcast.
 
@@ -62,6 +62,15 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(gram_hashes(_hashes.of(words), WORDS))
 
 
+def sketch(own: np.ndarray) -> bytes:
+    """For each of SKETCH_BITS parts of all hashes, whether an odd number of the set's lie in it.
+
+    Two sets differ in at least as many shingles as their sketches differ in bits.
+    """
+    parts = (own >> np.uint64(20)).astype(np.int64) % SKETCH_BITS
+    return np.packbits((np.bincount(parts, minlength=SKETCH_BITS) & 1).astype(bool)).tobytes()
+
+
 def prefix_length(size: int) -> int:
     """Of two linked sets, this many shingles of each, first in a common order, share one."""
     return size - -(-PERCENT * size // 100) + 1
@@ -81,7 +90,7 @@ def _bounded(df: DataFrame, rows: int) -> DataFrame:
 
 
 def _sets(rows: DataFrame) -> DataFrame:
-    """Per row: doc_id, text fingerprint, number of shingles, hash of the set (null: no shingle)."""
+    """Per row: doc_id, text fingerprint, number of shingles, hash and sketch of the set (null: no shingle)."""
 
     def per_batch(ids, fps, texts):
         sets = [shingles(t) for t in texts]
@@ -90,10 +99,19 @@ def _sets(rows: DataFrame) -> DataFrame:
             "fp": fps,
             "n_shingles": [len(s) for s in sets],
             "sid": [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None for s in sets],
+            "sketch": [sketch(s) if len(s) else None for s in sets],
         }
 
-    fields = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("n_shingles", pa.int64()), ("sid", pa.int64())])
-    schema = "doc_id bigint, fp bigint, n_shingles bigint, sid bigint"
+    fields = pa.schema(
+        [
+            ("doc_id", pa.int64()),
+            ("fp", pa.int64()),
+            ("n_shingles", pa.int64()),
+            ("sid", pa.int64()),
+            ("sketch", pa.binary()),
+        ]
+    )
+    schema = "doc_id bigint, fp bigint, n_shingles bigint, sid bigint, sketch binary"
     return map_rows(rows, ["doc_id", "fp", "text"], schema, fields, per_batch)
 
 
@@ -264,15 +282,6 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
-def sketch(own: np.ndarray) -> bytes:
-    """For each of SKETCH_BITS parts of all hashes, whether an odd number of the set's lie in it.
-
-    Two sets differ in at least as many shingles as their sketches differ in bits.
-    """
-    parts = (own >> np.uint64(20)).astype(np.int64) % SKETCH_BITS
-    return np.packbits((np.bincount(parts, minlength=SKETCH_BITS) & 1).astype(bool)).tobytes()
-
-
 def _between_components(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From sorted long lists: pairs of sets in different components that their sketches allow to link."""
     fields = pa.schema([("x", pa.int64()), ("y", pa.int64())])
@@ -312,17 +321,36 @@ def _between_components(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
         yield pairs(members)
 
 
-def _texts_of(sids: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
-    """One text for each of the distinct sets ``sids``."""
-    members = durable(sids.join(classes, "sid").select("sid", "doc_id", "fp"), "wanted-texts")
-    return rows.join(_bounded(members, members.count()), ["doc_id", "fp"]).select("sid", "text").dropDuplicates(["sid"])
+def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The distinct pairs whose sketches allow a link."""
+    own = classes.select("sid", "n_shingles", "sketch")
+    both = (
+        pairs.select("x", "y")
+        .distinct()
+        .join(own.toDF("y", "ny", "ky"), "y")
+        .join(own.toDF("x", "nx", "kx"), "x")
+        .select("x", "y", "nx", "ny", "kx", "ky")
+    )
+    fields = pa.schema([("x", pa.int64()), ("y", pa.int64())])
+
+    def per_batch(xs, ys, nx, ny, kx, ky):
+        if not xs:
+            return {"x": [], "y": []}
+        left, right = (np.frombuffer(b"".join(k), dtype=np.uint64).reshape(len(xs), -1) for k in (kx, ky))
+        differ = np.bitwise_count(left ^ right).sum(axis=1, dtype=np.int64)
+        total = np.array(nx) + np.array(ny)
+        keep = np.flatnonzero(differ <= total - 2 * required(total, 0))
+        return {"x": np.array(xs)[keep], "y": np.array(ys)[keep]}
+
+    return map_rows(both, ["x", "y", "nx", "ny", "kx", "ky"], "x bigint, y bigint", fields, per_batch)
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
     """The pairs whose sets link, as (a, b)."""
-    pairs = durable(pairs.select("x", "y").distinct(), "candidate-pairs")
+    pairs = durable(_possible(pairs, classes), "candidate-pairs")
     needed = pairs.select(F.col("x").alias("sid")).union(pairs.select(F.col("y").alias("sid"))).distinct()
-    texts = _texts_of(needed, classes, rows)
+    members = durable(needed.join(classes, "sid").select("sid", "doc_id", "fp"), "candidate-texts")
+    texts = rows.join(_bounded(members, members.count()), ["doc_id", "fp"]).select("sid", "text")
 
     def per_batch(sids, contents):
         return {"sid": sids, "set": [_packed(shingles(t)) for t in contents]}
@@ -376,8 +404,12 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     classes = durable(
         sets.where("sid IS NOT NULL")
         .groupBy("sid")
-        .agg(F.min_by(F.struct("doc_id", "fp"), F.struct(F.col("doc_id").isNull(), "doc_id", "fp")).alias("m"))
-        .select("sid", "m.doc_id", "m.fp"),
+        .agg(
+            F.min_by(F.struct("doc_id", "fp"), F.struct(F.col("doc_id").isNull(), "doc_id", "fp")).alias("m"),
+            F.first("n_shingles").alias("n_shingles"),
+            F.first("sketch").alias("sketch"),
+        )
+        .select("sid", "m.doc_id", "m.fp", "n_shingles", "sketch"),
         "classes",
     )
     listed = _listed(rows, common_shingles(rows)).repartition("shingle").sortWithinPartitions("shingle", "size", "sid")
@@ -397,18 +429,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     mixed = long_lists.groupBy("shingle").agg(F.min("component").alias("_a"), F.max("component").alias("_b"))
     long_lists = durable(long_lists.join(mixed.where("_a < _b").select("shingle"), "shingle"), "mixed-lists")
 
-    def sketched(sids, texts):
-        return {"sid": sids, "sketch": [sketch(shingles(t)) for t in texts]}
-
-    sketches = map_rows(
-        _texts_of(long_lists.select("sid").distinct(), classes, rows),
-        ["sid", "text"],
-        "sid bigint, sketch binary",
-        pa.schema([("sid", pa.int64()), ("sketch", pa.binary())]),
-        sketched,
-    )
     between = (
-        long_lists.join(sketches, "sid")
+        long_lists.join(classes.select("sid", "sketch"), "sid")
         .select("shingle", "size", "sid", "component", "sketch")
         .repartition("shingle")
         .sortWithinPartitions("shingle", "size", "sid")
