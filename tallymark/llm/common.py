@@ -65,7 +65,8 @@ class WordHashes(dict):
     def of(self, words: list[bytes]) -> np.ndarray:
         if len(self) > CACHE_WORDS:
             self.clear()
-        return self.hashes[np.array(list(map(self.__getitem__, words)), dtype=np.int64)]
+        numbers = np.array(list(map(self.__getitem__, words)), dtype=np.int64)  # may make room for new words
+        return self.hashes[numbers]
 
 
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)
