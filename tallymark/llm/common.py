@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import new_table_path
 
 # Words kept per worker before a cache starts afresh: bounds its memory, never its answers.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 400_000
 # The words of the contracts: runs of anything but the ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 
