@@ -16,6 +16,7 @@ from .messages import (
 )
 
 NO_CTRL = "NO_CTRL"
+BAD_CTRL = "BAD_CTRL"
 COMPLETE = "COMPLETE"
 NO_DATA = "NO_DATA"
 OVER = "OVER"
@@ -58,10 +59,15 @@ def is_complete(types: Sequence[str] = TYPES) -> Column:
 
 
 def delivery_status(has_control: Column, has_data: Column, types: Sequence[str] = TYPES) -> Column:
-    """Status of a request from declared and received columns; the first rule that holds decides."""
+    """Status of a request from declared and received columns; the first rule that holds decides.
+
+    A null count beside a control message stands for a type that it should have named and did not.
+    """
     difference = list(deltas(types).values())
+    unnamed = reduce(lambda a, b: a | b, [F.col(declared_column(t)).isNull() for t in types])
     return (
         F.when(~has_control, F.lit(NO_CTRL))
+        .when(unnamed, F.lit(BAD_CTRL))
         .when(all_zero(difference), F.lit(COMPLETE))
         .when(~has_data, F.lit(NO_DATA))
         .when(any_negative(difference), F.lit(OVER))

@@ -136,18 +136,26 @@ def merge_control(
     """Merge two control frames request by request, field by field.
 
     A non-empty name in ``update`` replaces the base's, the maps unite with the
-    update's counts winning, and types named in ``remove`` are taken out. Both
-    frames hold one row per request (see ``latest_control``).
+    update's counts winning, and types named in ``remove`` are taken out. ``ts`` and
+    ``seq``, where a frame has them, are the update's, else the base's. Both frames
+    hold one row per request (see ``latest_control``).
     """
-    left = base.select(*keys, F.col("fo_name").alias("_old_name"), F.col("statistics").alias("_old"))
-    right = update.select(*keys, F.col("fo_name").alias("_new_name"), F.col("statistics").alias("_new"))
+    order = [c for c in ("ts", "seq") if c in base.columns or c in update.columns]
+
+    def side(df: DataFrame, age: str) -> DataFrame:
+        held = [F.col(c).alias(f"_{age}_{c}") for c in order if c in df.columns]
+        return df.select(*keys, F.col("fo_name").alias(f"_{age}_name"), F.col("statistics").alias(f"_{age}"), *held)
+
+    left, right = side(base, "old"), side(update, "new")
     name = F.coalesce(F.nullif(F.col("_new_name"), F.lit("")), F.col("_old_name"), F.lit(""))
     statistics = S.merge_statistics(F.col("_old"), F.col("_new"))
     if remove:
         statistics = S.remove_statistics(statistics, *remove)
-    return left.join(right, list(keys), "full_outer").select(
-        *keys, name.alias("fo_name"), statistics.alias("statistics")
-    )
+    joined = left.join(right, list(keys), "full_outer")
+    newer = [
+        F.coalesce(*[F.col(c) for c in (f"_new_{c}", f"_old_{c}") if c in joined.columns]).alias(c) for c in order
+    ]
+    return joined.select(*keys, name.alias("fo_name"), statistics.alias("statistics"), *newer)
 
 
 def describe_counts(counts: DataFrame, trades: str, market: str, name: str = "description") -> DataFrame:

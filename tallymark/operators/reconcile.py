@@ -4,19 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import counters as C, messages as M
 from .counting import declared_counts, type_counts
 
 
-def ordering(columns: Sequence[str]) -> Column:
-    """Sort key of one or more columns as a single comparable column.
+_TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
+_WHOLE_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
-    A lone column stays as it is: the aggregate buffers then have a fixed width
-    and Spark can use a hash aggregation.
+
+def ordering(df: DataFrame, columns: Sequence[str], unknown_first: bool = True) -> Column:
+    """Sort key of one or more columns as a single comparable column that is never null.
+
+    A row without a time or number sorts before all others, or after them, so that
+    it is taken only where there is no better one. A lone time or number keeps a fixed
+    width, with which Spark can use a hash aggregation.
     """
-    return F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
+    if len(columns) == 1:
+        kind = df.schema[columns[0]].dataType
+        if isinstance(kind, _TIMES):
+            return F.coalesce(columns[0], F.lit("0001-01-01" if unknown_first else "9999-12-31").cast(kind))
+        if isinstance(kind, _WHOLE_NUMBERS):
+            return F.coalesce(F.col(columns[0]).cast("bigint"), F.lit(-(2**63) if unknown_first else 2**63 - 1))
+    known = [F.col(c).isNotNull() if unknown_first else F.col(c).isNull() for c in columns]
+    return F.struct(*[part for flag, c in zip(known, columns) for part in (flag, F.col(c))])
 
 
 def latest_control(
@@ -30,7 +42,7 @@ def latest_control(
     with very many control messages never gathers them in one task.
     """
     rest = [name for name in control.columns if name not in keys]
-    newest = F.max_by(F.struct(*rest), ordering(order_by)).alias("_newest")
+    newest = F.max_by(F.struct(*rest), ordering(control, order_by)).alias("_newest")
     return control.groupBy(*keys).agg(newest).select(*keys, *[f"_newest.{name}" for name in rest])
 
 
@@ -41,11 +53,13 @@ def latest_declared(
     order_by: Sequence[str] = ("ts",),
     missing: str = "zero",
 ) -> DataFrame:
-    """Declared counts of the newest control message, without carrying its other fields."""
+    """Declared counts of the newest control message, without carrying its other fields.
+
+    With ``missing="quarantine"`` a type that the newest message lacks is null: an older
+    message that had it does not come back.
+    """
     declared = declared_counts(control, types, missing)
-    by = ordering(order_by)
-    if missing == "quarantine":
-        declared = declared.where(F.col("error").isNull())
+    by = ordering(control, order_by)
     names = [M.declared_column(t) for t in types]
     return declared.groupBy(*keys).agg(*[F.max_by(name, by).alias(name) for name in names])
 
@@ -61,7 +75,7 @@ def dedup_data(data: DataFrame, keys: Sequence[str] = M.KEYS, order_by: Sequence
     if order_by is None:
         return data.dropDuplicates(identity)
     rest = [name for name in data.columns if name not in identity]
-    first = F.min_by(F.struct(*rest), ordering(order_by)).alias("_first")
+    first = F.min_by(F.struct(*rest), ordering(data, order_by, unknown_first=False)).alias("_first")
     return data.groupBy(*identity).agg(first).select(*identity, *[f"_first.{name}" for name in rest])
 
 

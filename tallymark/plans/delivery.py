@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 import argparse
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions import messages as M
 from ..operators.counting import control_totals
 from ..session import build_session
 from ..sources import codec
 from ..sources.readers import DEFAULT_BROKERS, KAFKA, read_control, read_data
 from ..sources.writers import write_messages
-from ..streaming.run import start_notifier
+from ..streaming.run import start_notifier, start_table
 
 FORMATS = ("json", "protobuf-arrow", "protobuf-jvm")
 
@@ -40,24 +41,60 @@ def publish_delivery(
     brokers: str = DEFAULT_BROKERS,
     encoders: codec.MessageCodec = codec.JSON_ENCODERS,
     options: Mapping[str, str] | None = None,
+    types: Sequence[str] = M.TYPES,
+    rejects: str | None = None,
+    mode: str = "append",
 ) -> None:
     """Announce every request of a data frame with its true totals, then send its records.
 
-    With a file format, ``path`` is the folder that gets one subfolder per topic.
+    With a file format, ``path`` is the folder that gets one subfolder per topic, and
+    ``mode="overwrite"`` makes a repeated run replace what an earlier one left. Rows that
+    the wire format cannot hold are written with their reason to a parquet table per
+    topic under ``rejects``; without such a folder they fail the job. Announcements of
+    records that have no time get the time of the job.
     """
-    announced = control_totals(data, ts="ts" if "ts" in data.columns else None).withColumn("fo_name", fo_name)
+    announced = control_totals(data, types=types, ts="ts" if "ts" in data.columns else None)
+    time = F.coalesce("ts", F.current_timestamp()) if "ts" in data.columns else F.current_timestamp()
+    announced = announced.withColumns({"fo_name": fo_name, "ts": time})
     for kind, frame in ((codec.CONTROL, announced), (codec.DATA, data)):
         topic = codec.TOPICS[kind]
+        if rejects:
+            frame, bad = codec.screen_messages(frame, kind, encoders, types)
+            bad.write.mode(mode).parquet(f"{rejects}/{topic}")
         write_messages(
-            codec.encode_messages(frame, kind, encoders),
+            codec.encode_messages(frame, kind, encoders, types=types, invalid="fail"),
             topic,
             format,
             path and f"{path}/{topic}",
             brokers,
             options,
+            mode=mode,
         )
 
 
+def _decoded(
+    spark: SparkSession,
+    format: str,
+    path: str | None,
+    brokers: str,
+    decoders: codec.MessageCodec,
+    options: Mapping[str, str] | None,
+    types: Sequence[str],
+) -> dict[str, tuple[DataFrame, DataFrame]]:
+    """Good and rejected rows of the two topics."""
+    topics = {}
+    for kind, read in ((codec.CONTROL, read_control), (codec.DATA, read_data)):
+        folder = path and f"{path}/{codec.TOPICS[kind]}"
+        decoded = read(spark, format, folder, decoders=decoders, brokers=brokers, options=options, types=types)
+        topics[kind] = codec.quarantine(decoded)
+    return topics
+
+
+def _ordered(format: str) -> str | None:
+    """The column that orders announcements of equal time."""
+    return "offset" if format == KAFKA else None
+
+
 def consume(
     spark: SparkSession,
     checkpoint: str,
@@ -68,14 +105,51 @@ def consume(
     ttl: timedelta | None = timedelta(seconds=20),
     every: str | None = "1 second",
     options: Mapping[str, str] | None = None,
+    types: Sequence[str] = M.TYPES,
+    rows: int = 10,
 ) -> StreamingQuery:
-    """Read both topics, drop what cannot be decoded, and print a notice per completed request."""
-    good = []
-    for kind, read in ((codec.CONTROL, read_control), (codec.DATA, read_data)):
-        folder = path and f"{path}/{codec.TOPICS[kind]}"
-        decoded = read(spark, format, folder, decoders=decoders, brokers=brokers, options=options)
-        good.append(codec.quarantine(decoded)[0])
-    return start_notifier(*good, checkpoint=checkpoint, ttl=ttl, every=every)
+    """Show notices on the console: ``rows`` of each micro-batch, without what cannot be decoded.
+
+    ``consume_to_tables`` keeps all notices and all rejects.
+    """
+    topics = _decoded(spark, format, path, brokers, decoders, options, types)
+    good = [topics[kind][0] for kind in (codec.CONTROL, codec.DATA)]
+    return start_notifier(
+        *good, checkpoint=checkpoint, ttl=ttl, every=every, rows=rows, types=types, seq=_ordered(format)
+    )
+
+
+def consume_to_tables(
+    spark: SparkSession,
+    checkpoint: str,
+    output: str,
+    format: str = KAFKA,
+    path: str | None = None,
+    brokers: str = DEFAULT_BROKERS,
+    decoders: codec.MessageCodec = codec.JSON_DECODERS,
+    ttl: timedelta | None = timedelta(seconds=20),
+    every: str | None = "1 second",
+    options: Mapping[str, str] | None = None,
+    types: Sequence[str] = M.TYPES,
+) -> tuple[StreamingQuery, StreamingQuery]:
+    """Two queries: every notice to ``output/notices``, every undecodable envelope to ``output/rejects``.
+
+    Both tables are read with ``read_changes``; a rejected envelope has its topic, bytes and reason.
+    """
+    topics = _decoded(spark, format, path, brokers, decoders, options, types)
+    bad = [rejected.withColumn("topic", F.lit(codec.TOPICS[kind])) for kind, (_, rejected) in topics.items()]
+    rejects = start_table(bad[0].unionByName(bad[1]), f"{output}/rejects", f"{checkpoint}/rejects", every=every)
+    notices = start_notifier(
+        topics[codec.CONTROL][0],
+        topics[codec.DATA][0],
+        checkpoint=f"{checkpoint}/notices",
+        ttl=ttl,
+        every=every,
+        output=f"{output}/notices",
+        types=types,
+        seq=_ordered(format),
+    )
+    return notices, rejects
 
 
 def main() -> None:
@@ -83,20 +157,23 @@ def main() -> None:
     parser = argparse.ArgumentParser(description=main.__doc__)
     parser.add_argument("--brokers", default=DEFAULT_BROKERS)
     parser.add_argument("--checkpoint", required=True, help="folder all executors share")
+    parser.add_argument("--output", required=True, help="folder of the notices and rejects tables")
     parser.add_argument("--wire", default="protobuf-jvm", choices=FORMATS)
     parser.add_argument("--ttl-seconds", type=float, default=20)
     parser.add_argument("--every", default="1 second")
     chosen = parser.parse_args()
     _, decoders = codecs(chosen.wire)
-    query = consume(
-        build_session("tallymark-consumer"),
+    spark = build_session("tallymark-consumer")
+    consume_to_tables(
+        spark,
         chosen.checkpoint,
+        chosen.output,
         brokers=chosen.brokers,
         decoders=decoders,
         ttl=timedelta(seconds=chosen.ttl_seconds),
         every=chosen.every,
     )
-    query.awaitTermination()
+    spark.streams.awaitAnyTermination()
 
 
 if __name__ == "__main__":

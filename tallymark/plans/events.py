@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import messages as M, statistics as S
 from ..operators import counting, history as H
+from ..session import new_table_path
 from ..sources import codec, protobuf
+from .delivery import publish_delivery
 from .tables import table
 
 KEYS = ("user_id", "day")
@@ -147,6 +149,18 @@ def quarantined(spark: SparkSession, folder: str) -> DataFrame:
     return bad.select("offset", "error", *[F.col(name).cast("string").alias(name) for name in ("raw_key", "raw_value")])
 
 
+def published_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Events published as topics: per user and day, the records that are of no known type and stay behind."""
+    path = new_table_path(spark, "delivery")
+    messages = render_key(data(spark, folder))
+    publish_delivery(messages, F.lit("fo-0"), "parquet", f"{path}/topics", rejects=f"{path}/rejects")
+    return (
+        spark.read.parquet(f"{path}/rejects/{M.DATA_TOPIC}")
+        .groupBy(*M.KEYS, "error")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 def decode_protobuf(spark: SparkSession, folder: str) -> DataFrame:
     """The same envelopes in the binary wire format."""
     raw = _envelopes(spark, folder, protobuf.arrow_encoders())

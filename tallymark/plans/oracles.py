@@ -125,6 +125,17 @@ ORACLES = {
                CAST(o_orderkey % 7 AS BIGINT) AS declared_trade_data,
                CAST(CASE WHEN o_orderkey % 7 = 0 THEN 0 ELSE o_orderkey % 5 END AS BIGINT) AS declared_market_data
         FROM orders""",
+    "latest_control_edge": f"""
+WITH keyed AS (SELECT o_orderkey AS order_key FROM orders)
+SELECT {ORDER_KEY},
+       CAST(CASE WHEN order_key % 11 = 0 THEN 99 ELSE order_key % 7 + 1 END AS BIGINT) AS declared_trade_data,
+       CAST(CASE WHEN order_key % 11 = 0 THEN 99 WHEN order_key % 3 <> 0 THEN order_key % 5 END AS BIGINT)
+         AS declared_market_data
+FROM keyed""",
+    "published_rejects": f"""
+WITH {_DATA}
+SELECT {DAY_KEY}, 'UNKNOWN_TYPE' AS error, count(*) AS n
+FROM data WHERE type = 'UNRECOGNIZED' GROUP BY user_id, day""",
     "declared_quarantine": f"""
         SELECT concat('REQ-', o_orderkey) AS req_id, concat('FO-', o_orderkey) AS fo_id,
                CAST(o_orderkey % 7 AS BIGINT) AS declared_trade_data,

@@ -25,8 +25,12 @@ NULL_KEY = "NULL_KEY"
 BAD_KEY = "BAD_KEY"
 NULL_VALUE = "NULL_VALUE"
 BAD_VALUE = "BAD_VALUE"
+NULL_STATISTICS = "NULL_STATISTICS"
+NULL_COUNT = "NULL_COUNT"
+COUNT_TOO_LARGE = "COUNT_TOO_LARGE"
+UNKNOWN_TYPE = "UNKNOWN_TYPE"
 
-# Largest count the int32 of the wire format holds.
+# Largest count the int32 of the binary wire format holds; JSON has no such limit.
 MAX_WIRE_COUNT = 2**31 - 1
 
 # Fixed field names of the message format, in field order.
@@ -40,11 +44,13 @@ _JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
 
 @dataclass(frozen=True)
 class MessageCodec:
-    """The three decoders or the three encoders of one wire format."""
+    """The three decoders or the three encoders of one wire format, and what the format can hold."""
 
     key: Codec
     control: Codec
     data: Codec
+    max_count: int | None = None
+    types: tuple[str, ...] | None = None
 
 
 def json_decoder(fields: str) -> Codec:
@@ -61,10 +67,10 @@ JSON_DECODERS = MessageCodec(json_decoder(KEY_FIELDS), json_decoder(CONTROL_FIEL
 JSON_ENCODERS = MessageCodec(json_encoder, json_encoder, json_encoder)
 
 
-def _type_from_wire(column: Column) -> Column:
+def _type_from_wire(column: Column, types: Sequence[str]) -> Column:
     """A wire enum is a name or a number in text; unset means the first name."""
-    name = M.normalise_type(column)
-    for number, type_name in enumerate(M.TYPES):
+    name = M.normalise_type(column, types)
+    for number, type_name in enumerate(types):
         name = F.when(column == str(number), F.lit(type_name)).otherwise(name)
     return name
 
@@ -76,7 +82,12 @@ def _failure(df: DataFrame, part: str, raw: str, when_null: str, when_bad: str)
     return F.when(F.col(raw).isNull(), F.lit(when_null)).when(bad, F.lit(when_bad))
 
 
-def decode_messages(raw: DataFrame, kind: str, decoders: MessageCodec = JSON_DECODERS) -> DataFrame:
+def decode_messages(
+    raw: DataFrame,
+    kind: str,
+    decoders: MessageCodec = JSON_DECODERS,
+    types: Sequence[str] = M.TYPES,
+) -> DataFrame:
     """Decode envelopes of one kind to message columns, keeping every row.
 
     Unset fields read as "", 0 or an empty map, never null. A row whose key or value
@@ -114,7 +125,7 @@ def decode_messages(raw: DataFrame, kind: str, decoders: MessageCodec = JSON_DEC
         fields["fo_name"] = M.text_or_empty(F.col("_value.FOName"))
         fields["statistics"] = F.transform_values(counts, lambda _, n: F.coalesce(n, F.lit(0).cast("bigint")))
     elif kind == DATA:
-        fields["type"] = _type_from_wire(F.col("_value.Type"))
+        fields["type"] = _type_from_wire(F.col("_value.Type"), types)
         fields["id"] = M.text_or_empty(F.col("_value.Id"))
         fields["value"] = M.text_or_empty(F.col("_value.Value"))
     else:
@@ -136,11 +147,26 @@ def quarantine(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def _encodable(kind: str) -> Column:
+def encoding_error(kind: str, encoders: MessageCodec = JSON_ENCODERS, types: Sequence[str] = M.TYPES) -> Column:
+    """Why a row is no message of the wire format, null if it is one."""
     if kind == CONTROL:
-        fits = F.forall(F.map_values("statistics"), lambda n: n.between(-MAX_WIRE_COUNT - 1, MAX_WIRE_COUNT))
-        return F.col("statistics").isNotNull() & fits
-    return F.col("type").isin(*M.TYPES)
+        counts = F.map_values("statistics")
+        error = F.when(F.col("statistics").isNull(), F.lit(NULL_STATISTICS))
+        error = error.when(F.exists(counts, lambda n: n.isNull()), F.lit(NULL_COUNT))
+        if encoders.max_count is not None:
+            large = F.exists(counts, lambda n: ~n.between(-encoders.max_count - 1, encoders.max_count))
+            error = error.when(large, F.lit(COUNT_TOO_LARGE))
+        return error
+    known = [t for t in types if encoders.types is None or t in encoders.types]
+    return F.when(~F.coalesce(F.col("type").isin(*known), F.lit(False)), F.lit(UNKNOWN_TYPE))
+
+
+def screen_messages(
+    df: DataFrame, kind: str, encoders: MessageCodec = JSON_ENCODERS, types: Sequence[str] = M.TYPES
+) -> tuple[DataFrame, DataFrame]:
+    """Split message rows into those that can be encoded, and the others with the reason in ``error``."""
+    error = encoding_error(kind, encoders, types)
+    return df.where(error.isNull()), df.withColumn("error", error).where(F.col("error").isNotNull())
 
 
 def encode_messages(
@@ -149,8 +175,16 @@ def encode_messages(
     encoders: MessageCodec = JSON_ENCODERS,
     topic: str | None = None,
     extra: Sequence[str] = (),
+    types: Sequence[str] = M.TYPES,
+    invalid: str = "null",
 ) -> DataFrame:
-    """Envelope columns for message rows; a row that is no valid message gets a null value."""
+    """Envelope columns for message rows.
+
+    A row that is no valid message gets a null value, or fails the query with
+    ``invalid="fail"``; ``screen_messages`` sorts such rows out beforehand.
+    """
+    if invalid not in ("null", "fail"):
+        raise ValueError(f"invalid must be null or fail, not {invalid!r}")
     key = F.struct(F.col("req_id").alias("ReqId"), F.col("fo_id").alias("FOId"))
     if kind == CONTROL:
         body = F.struct(F.col("fo_name").alias("FOName"), F.col("statistics").alias("Statistics"))
@@ -161,9 +195,13 @@ def encode_messages(
     else:
         raise ValueError(f"kind must be {CONTROL} or {DATA}, not {kind!r}")
     time = F.col("ts").cast("timestamp") if "ts" in df.columns else F.lit(None).cast("timestamp")
+    error = encoding_error(kind, encoders, types)
+    checked = F.when(error.isNull(), value)
+    if invalid == "fail":
+        checked = checked.otherwise(F.raise_error(F.concat(F.lit("not a message: "), error)).cast("binary"))
     return df.select(
         encoders.key(key).alias("key"),
-        F.when(_encodable(kind), value).alias("value"),
+        checked.alias("value"),
         F.lit(topic or TOPICS[kind]).alias("topic"),
         time.alias("timestamp"),
         *extra,

@@ -14,7 +14,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F
 
 from . import protobuf_wire as wire
-from .codec import CONTROL_FIELDS, DATA_FIELDS, KEY_FIELDS, MessageCodec
+from ..functions.messages import TYPES
+from .codec import CONTROL_FIELDS, DATA_FIELDS, KEY_FIELDS, MAX_WIRE_COUNT, MessageCodec
 
 # Executors need not have this package installed for the two small helpers.
 cloudpickle.register_pickle_by_value(wire)
@@ -43,7 +44,9 @@ def arrow_decoders() -> MessageCodec:
 
 
 def arrow_encoders() -> MessageCodec:
-    return MessageCodec(_arrow_encoder("MsgId"), _arrow_encoder("CtrlMsg"), _arrow_encoder("DataMsg"))
+    return MessageCodec(
+        _arrow_encoder("MsgId"), _arrow_encoder("CtrlMsg"), _arrow_encoder("DataMsg"), MAX_WIRE_COUNT, TYPES
+    )
 
 
 def _jvm_decoder(message: str) -> Callable[[Column], Column]:
@@ -77,4 +80,4 @@ def jvm_encoders() -> MessageCodec:
         statistics = body["Statistics"].try_cast("map<string,int>")
         return control(F.struct(body["FOName"].alias("FOName"), statistics.alias("Statistics")))
 
-    return MessageCodec(_jvm_encoder("MsgId"), narrowed, _jvm_encoder("DataMsg"))
+    return MessageCodec(_jvm_encoder("MsgId"), narrowed, _jvm_encoder("DataMsg"), MAX_WIRE_COUNT, TYPES)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -67,10 +67,11 @@ def _read(
     topic: str | None,
     brokers: str,
     options: Mapping[str, str] | None,
+    types: Sequence[str],
 ) -> DataFrame:
     if layout == "envelope":
         raw = read_envelopes(spark, topic or TOPICS[kind], format, path, streaming, brokers, options)
-        return decode_messages(raw, kind, decoders)
+        return decode_messages(raw, kind, decoders, types)
     if layout == "table":
         reader = (spark.readStream if streaming else spark.read).format(format)
         return event_time(reader.schema(SCHEMAS[kind]).options(**(options or {})).load(path))
@@ -87,10 +88,11 @@ def read_control(
     topic: str | None = None,
     brokers: str = DEFAULT_BROKERS,
     options: Mapping[str, str] | None = None,
+    types: Sequence[str] = M.TYPES,
 ) -> DataFrame:
     """Control messages. ``layout="envelope"`` decodes topic bytes (see ``quarantine`` for the
     rejects), ``layout="table"`` reads files that already hold message columns."""
-    return _read(spark, CONTROL, format, path, streaming, layout, decoders, topic, brokers, options)
+    return _read(spark, CONTROL, format, path, streaming, layout, decoders, topic, brokers, options, types)
 
 
 def read_data(
@@ -103,6 +105,7 @@ def read_data(
     topic: str | None = None,
     brokers: str = DEFAULT_BROKERS,
     options: Mapping[str, str] | None = None,
+    types: Sequence[str] = M.TYPES,
 ) -> DataFrame:
     """Data messages; the arguments are those of ``read_control``."""
-    return _read(spark, DATA, format, path, streaming, layout, decoders, topic, brokers, options)
+    return _read(spark, DATA, format, path, streaming, layout, decoders, topic, brokers, options, types)

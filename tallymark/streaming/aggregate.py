@@ -14,7 +14,9 @@ from .feed import delivery_feed
 
 def _counted(feed: DataFrame, groups: Sequence, types: Sequence[str], seq: str | None) -> DataFrame:
     """Newest declaration and received totals per group, in one aggregation."""
-    when = F.col("ts") if seq is None else F.struct("ts", "seq")
+    # A control message without a time is older than any other.
+    time = F.coalesce("ts", F.lit("0001-01-01").cast("timestamp"))
+    when = time if seq is None else F.struct(time.alias("ts"), "seq")
     newest = F.when(F.col("is_control"), when)
     return feed.groupBy(*groups).agg(
         *[F.max_by(M.declared_column(t), newest).alias(M.declared_column(t)) for t in types],

@@ -32,8 +32,6 @@ def delivery_feed(
         return [*keys, F.col(ts).cast("timestamp").alias("ts"), order.alias("seq")]
 
     announced = declared_counts(control, types, missing)
-    if missing == "quarantine":
-        announced = announced.where(F.col("error").isNull())
     controls = announced.select(
         *shared(announced),
         F.lit(True).alias("is_control"),

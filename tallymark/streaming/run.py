@@ -115,11 +115,19 @@ def start_notifier(
     ttl: timedelta | None = timedelta(seconds=20),
     every: str | None = "1 second",
     rows: int = 10,
+    output: str | None = None,
     **settings,
 ) -> StreamingQuery:
-    """The whole consumer: reconcile two streams and print a notice per completed request."""
+    """The whole consumer: reconcile two streams and give a notice per completed request.
+
+    With ``output`` every notice is written to the table there (see ``start_table``);
+    without it the first ``rows`` of each micro-batch are printed and the others are not
+    kept anywhere.
+    """
     spark = control.sparkSession
     with state_store(spark, "rocksdb"):
         changes = stateful_reconcile(control, data, ttl=ttl, **settings)
-        notices = notifications(completed(changes), settings.get("keys", M.KEYS)).select("message")
-        return write_console(notices, rows, every, checkpoint)
+        notices = notifications(completed(changes), settings.get("keys", M.KEYS))
+        if output:
+            return start_table(notices, output, checkpoint, every=every)
+        return write_console(notices.select("message"), rows, every, checkpoint)

@@ -46,7 +46,9 @@ def stateful_reconcile(
     declared = [M.declared_column(t) for t in types]
     received = [M.received_column(t) for t in types]
     # Times travel as numbers: pandas timestamps would pass through the session's time zone.
-    feed = delivery_feed(control, data, keys, types, ts, seq, missing).withColumn("us", F.unix_micros("ts")).drop("ts")
+    # A row without a time is as old as the epoch: late under a watermark, else before all others.
+    us = F.coalesce(F.unix_micros("ts"), F.lit(0).cast("bigint"))
+    feed = delivery_feed(control, data, keys, types, ts, seq, missing).withColumn("us", us).drop("ts")
     key_names = list(keys)
     if not per_message:
 

@@ -45,13 +45,36 @@ def test_latest_control_breaks_ties_by_sequence(spark):
     assert [row["declared_trade_data"] for row in declared] == [2]
 
 
+def test_an_incomplete_announcement_replaces_a_complete_one(spark):
+    control = control_frame(spark, [(0, 1, 0, 0), (0, 1, None, 5)])
+    data = data_frame(spark, [(0, "T", 1)])
+    assert by_request(R.reconcile(control, data, missing="quarantine"), "status") == {"REQ-0": "BAD_CTRL"}
+
+
+def test_announcements_without_time_count_where_there_is_no_other(spark):
+    control = control_frame(spark, [(0, 1, 0, 0), (1, 2, 0, 0), (1, 1, 0, 1)])
+    timeless = F.when(F.col("statistics")["TRADE_DATA"] != 2, F.col("ts")).alias("ts")
+    gone = control.withColumn("ts", F.when(F.col("req_id") == "REQ-1", timeless))
+    data = data_frame(spark, [(0, "T", 1), (1, "T", 1)])
+    assert set(by_request(R.reconcile(gone, data), "status").values()) == {"COMPLETE"}
+    newest = by_request(R.latest_control(gone), "statistics")
+    assert {key: value["TRADE_DATA"] for key, value in newest.items()} == {"REQ-0": 1, "REQ-1": 1}
+
+
+def test_merged_announcements_can_be_reconciled(spark):
+    control = control_frame(spark, [(0, 1, 0, 0)])
+    merged = counting.merge_control(control, control_frame(spark, [(0, 2, 0, 3)]))
+    assert by_request(R.reconcile(merged, data_frame(spark, [(0, "T", 1), (0, "T", 2)])), "status") == {"REQ-0": "COMPLETE"}
+    assert merged.collect()[0]["ts"] is not None
+
+
 def test_missing_type_policies(spark):
     control = control_frame(spark, [(0, 1, None, 0), (1, 1, 1, 0)])
     data = data_frame(spark, [(0, "T", 1)])
     assert by_request(counting.declared_counts(control), "declared_market_data") == {"REQ-0": 0, "REQ-1": 1}
     flagged = counting.declared_counts(control, missing="quarantine")
     assert by_request(flagged, "error") == {"REQ-0": "MISSING_TYPE:MARKET_DATA", "REQ-1": None}
-    assert by_request(R.reconcile(control, data, missing="quarantine"), "status")["REQ-0"] == "NO_CTRL"
+    assert by_request(R.reconcile(control, data, missing="quarantine"), "status")["REQ-0"] == "BAD_CTRL"
     with pytest.raises(Exception, match="no entry for MARKET_DATA"):
         counting.declared_counts(control, missing="fail").collect()
     with pytest.raises(ValueError):

@@ -59,7 +59,12 @@ def test_what_is_no_message_encodes_to_null(spark, name):
     odd = data_frame(spark).withColumn("type", F.lit("UNRECOGNIZED"))
     assert [r["value"] for r in codec.encode_messages(odd, "data", encoders).collect()] == [None, None]
     huge = control_frame(spark).withColumn("statistics", F.create_map(F.lit("TRADE_DATA"), F.lit(2**31).cast("bigint")))
-    assert [r["value"] for r in codec.encode_messages(huge, "control", encoders).collect()] == [None, None]
+    written = [r["value"] is not None for r in codec.encode_messages(huge, "control", encoders).collect()]
+    assert written == [name == "json"] * 2  # only the binary format has int32 counts
+    _, bad = codec.screen_messages(huge, "control", encoders)
+    assert [r["error"] for r in bad.collect()] == [] if name == "json" else ["COUNT_TOO_LARGE"] * 2
+    with pytest.raises(Exception, match="UNKNOWN_TYPE"):
+        codec.encode_messages(odd, "data", encoders, invalid="fail").collect()
     assert all(r["key"] is not None for r in codec.encode_messages(huge, "control", encoders).collect())
 
 

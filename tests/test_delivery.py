@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallymark.operators import reconcile as R
 from tallymark.plans import delivery
 from tallymark.sources import codec, readers
+from tallymark.streaming.run import read_changes
 
 
 @pytest.mark.parametrize("wire", ["json", "protobuf-arrow"])
@@ -40,3 +41,39 @@ def test_kafka_needs_its_connector(spark):
     """Without the connector jar the failure is Spark's own, naming the missing source."""
     with pytest.raises(AnalysisException, match="kafka"):
         readers.read_control(spark)
+
+
+def test_all_notices_and_rejects_are_kept(spark, tmp_path):
+    """25 completions in a micro-batch, three types, records of a fourth, a damaged envelope."""
+    types = ("TRADE_DATA", "MARKET_DATA", "FX_DATA")
+    data = data_frame(spark, [(n, "T", 1) for n in range(25)]).drop("seq")
+    data = data.union(data.withColumn("type", F.lit("FX_DATA"))).union(data.withColumn("type", F.lit("ODD")))
+    topics, rejects = str(tmp_path / "topics"), str(tmp_path / "unsent")
+    for _ in range(2):  # again, as after a failure
+        delivery.publish_delivery(
+            data, F.lit("fo-0"), "parquet", topics, types=types, rejects=rejects, mode="overwrite"
+        )
+    assert spark.read.parquet(f"{rejects}/data").groupBy("error").count().collect()[0].asDict() == {
+        "error": "UNKNOWN_TYPE",
+        "count": 25,
+    }
+    damaged = spark.read.parquet(f"{topics}/data").limit(1).withColumn("value", F.lit("{").cast("binary"))
+    damaged.write.mode("append").parquet(f"{topics}/data")
+
+    output = str(tmp_path / "out")
+    queries = delivery.consume_to_tables(
+        spark, str(tmp_path / "ck"), output, "parquet", topics, ttl=None, every=None, types=types,
+        options={"maxFilesPerTrigger": "100"},
+    )
+    for query in queries:
+        assert query.awaitTermination(240)
+        assert query.exception() is None
+    notices = read_changes(spark, f"{output}/notices")
+    assert notices.select("req_id").distinct().count() == notices.count() == 25
+    assert [(r["topic"], r["error"]) for r in read_changes(spark, f"{output}/rejects").collect()] == [("data", "BAD_VALUE")]
+
+
+def test_publishing_what_cannot_be_encoded_fails_without_a_place_for_it(spark, tmp_path):
+    data = data_frame(spark, [(0, "T", 1)]).drop("seq").withColumn("type", F.lit("ODD"))
+    with pytest.raises(Exception, match="UNKNOWN_TYPE"):
+        delivery.publish_delivery(data, F.lit("fo-0"), "parquet", str(tmp_path / "topics"))
