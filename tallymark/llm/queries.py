@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, chat, decontaminate, jaccard, pii, quality, rules, substrings, token_counts, warc
+from . import audit, byte_bpe, chat, decontaminate, jaccard, language, pii, quality, resampling, rules, substrings, token_counts, warc
 from .common import table
 
 
@@ -66,6 +66,19 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read_records(files).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("fp")
+
+
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.filter_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op13_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return language.predicted(docs, language.learn(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_classifier": op2_quality_classifier,
@@ -77,4 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_decontamination": op9_decontamination,
     "op10_warc": op10_warc,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_language_id": op13_language_id,
 }

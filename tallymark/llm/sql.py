@@ -112,10 +112,88 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id < response THEN response END AS refers_to
 FROM r"""
 
+# Checksums byte by byte, from a table that is itself made in SQL.
+OP11 = r"""
+WITH t AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(range(8),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS t
+), x AS (
+  SELECT 0 AS side, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark
+), w AS (
+  SELECT side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM x
+), f AS (
+  SELECT side, id, unnest(ws || list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])
+    || list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) AS g FROM w
+), n AS MATERIALIZED (SELECT side, id, g, count(*) AS n FROM f GROUP BY ALL
+), h AS (
+  SELECT g, hex(encode(g)) AS hx FROM (SELECT DISTINCT g FROM n)
+), c AS MATERIALIZED (
+  SELECT g, xor(4294967295, list_reduce(list_transform(range(1, len(hx), 2), lambda i: ('0x' || substr(hx, i, 2))::BIGINT),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT)) % 10000 AS b
+  FROM h, t
+), k AS (
+  SELECT b, sum(n) FILTER (side = 0) AS s, sum(n) FILTER (side = 1) AS t FROM n JOIN c ON n.g = c.g GROUP BY b
+), z AS (
+  SELECT sum(n) FILTER (side = 0)::DOUBLE AS s, coalesce(sum(n) FILTER (side = 1), 0)::DOUBLE AS t FROM n
+), gain AS (
+  SELECT b, floor(1000 * ln((coalesce(k.t, 0)::DOUBLE + 1) * (z.s + 10000)
+                            / ((coalesce(k.s, 0)::DOUBLE + 1) * (z.t + 10000))))::BIGINT AS gain FROM k, z
+), d AS (
+  SELECT id, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight
+  FROM n JOIN c ON n.g = c.g JOIN gain ON gain.b = c.b WHERE side = 0 GROUP BY id
+), r AS (
+  SELECT w.id AS doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, len(ws) >= 20 AS fit,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || w.id), 1, 8))::BIGINT + 0.5::DOUBLE)
+                                                    / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM w LEFT JOIN d ON w.id = d.id WHERE w.side = 0
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY fit ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY fit) AS many FROM r
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN fit AND place <= 5 * many // 100 THEN place END AS rank
+FROM o"""
+
+OP12 = rf"""
+WITH w AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, {_WORDS} AS ws FROM documents
+), lab AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), f AS MATERIALIZED (
+  SELECT part, [len(ws) < 50, 100 * len(list_distinct(ws)) < 65 * len(ws),
+                100 * len(regexp_extract_all(text, '[A-Z]')) > 5 * length(text), regexp_matches(text, '[#$%&*|]'),
+                w.doc_id > min(w.doc_id) OVER (PARTITION BY text)] AS fails,
+         coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+  FROM w LEFT JOIN lab ON w.doc_id = lab.doc_id
+), g AS MATERIALIZED (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY ALL
+), l AS (SELECT unnest(range(1, 6)) AS i
+), perms AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS p FROM l a, l b, l c, l d, l e WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+), s AS MATERIALIZED (
+  SELECT part, array_to_string(list_transform(p, lambda i: substr('ABCDE', i, 1)), '') AS filter_order, k.i AS step, p[k.i] AS letter,
+         fails[p[k.i]] AS failing, len(list_filter(p[1:k.i - 1], lambda i: fails[i])) > 0 AS earlier,
+         len(list_filter(fails, lambda x: x)) AS many, n, good, toxic
+  FROM g, perms, l k
+), r AS (
+  SELECT part, filter_order, step, letter,
+         sum(CASE WHEN NOT failing AND NOT earlier THEN n ELSE 0 END)::BIGINT AS kept,
+         sum(CASE WHEN failing AND NOT earlier THEN n ELSE 0 END)::BIGINT AS removed,
+         sum(CASE WHEN failing AND earlier THEN n ELSE 0 END)::BIGINT AS redundant,
+         sum(CASE WHEN failing AND many = 1 THEN n ELSE 0 END)::BIGINT AS unique_fails,
+         sum(CASE WHEN failing AND NOT earlier THEN good ELSE 0 END)::BIGINT AS good_lost,
+         sum(CASE WHEN failing AND NOT earlier THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM s GROUP BY ALL
+)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       sum(removed) OVER (PARTITION BY part, letter)::BIGINT AS shapley
+FROM r"""
+
 ORACLES: dict[str, str] = {
     "op3_ngram_jaccard_join": OP3,
     "op4_substring_dedup": OP4,
     "op5_quality_rules": OP5,
     "op6_chat_formatting": OP6,
     "op10_warc": OP10,
+    "op11_importance_resampling": OP11,
+    "op12_filter_audit": OP12,
 }
