@@ -46,6 +46,17 @@ def map_rows(
     return df.select(*columns).mapInArrow(work, schema)
 
 
+_held: dict[str, object] = {}
+
+
+def worker_cache(name: str, make: Callable[[], object]):
+    """What a worker keeps from task to task under a name; what it kept under another name goes."""
+    if name not in _held:
+        _held.clear()
+        _held[name] = make()
+    return _held[name]
+
+
 class WordHashes(dict):
     """64-bit hashes of UTF-8 words: numbers the words it meets and keeps their hashes by number."""
 

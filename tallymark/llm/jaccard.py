@@ -33,7 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import WordHashes, durable, gram_hashes, map_rows
+from .common import WordHashes, durable, gram_hashes, map_rows, worker_cache
 from .components import components
 from .divide_skip import divide_skip
 
@@ -49,7 +49,6 @@ SKETCH_BITS = 1024
 # Rows up to which a side may be broadcast: 24 bytes each make 12 MB.
 BROADCAST_ROWS = 500_000
 
-_hashes = WordHashes()
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -59,7 +58,7 @@ def shingles(text: str | None) -> np.ndarray:
         return np.empty(0, dtype=np.uint64)
     if len(words) < WORDS:
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=len(words))], dtype=np.uint64)
-    return np.unique(gram_hashes(_hashes.of(words), WORDS))
+    return np.unique(gram_hashes(worker_cache("words", WordHashes).of(words), WORDS))
 
 
 def sketch(own: np.ndarray) -> bytes:

@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import CACHE_WORDS, map_rows
+from .common import CACHE_WORDS, map_rows, worker_cache
 
 BITS = 18
 SLOTS = 1 << BITS
@@ -68,9 +68,6 @@ class WordFeatures(dict):
         return self.own[numbers], self.shape[numbers]
 
 
-_features = WordFeatures()
-
-
 def _slots(values: np.ndarray, seed: int) -> np.ndarray:
     values = (values + np.uint64(seed)) * np.uint64(0x9E3779B97F4A7C15)
     return ((values ^ (values >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - BITS)).astype(np.int64)
@@ -81,7 +78,7 @@ def slots_of(text: str | None) -> np.ndarray:
     words = text.encode().split() if text else []
     if not words:
         return np.empty(0, dtype=np.int64)
-    own, shape = _features.of(words)
+    own, shape = worker_cache("quality", WordFeatures).of(words)
     repeats = np.zeros(len(words), dtype=np.uint64)
     for back in (3, 2, 1):
         if len(words) > back:

@@ -26,14 +26,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import WordHashes, durable, gram_hashes, map_rows
+from .common import WordHashes, durable, gram_hashes, map_rows, worker_cache
 
 LENGTH = 50
 ANCHOR_WORDS = 16
 # Rows up to which a side may be broadcast: 24 bytes each make 12 MB.
 BROADCAST_ROWS = 500_000
 
-_hashes = WordHashes()
 
 
 def anchors_of(hashes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -62,7 +61,7 @@ def _seeds(docs: DataFrame, length: int) -> DataFrame:
         n_words, digests, anchors = [], [], []
         for text in texts:
             words = _words(text)
-            runs, places = anchors_of(_hashes.of(words), length)
+            runs, places = anchors_of(worker_cache("words", WordHashes).of(words), length)
             n_words.append(len(words))
             digests.append(hashlib.sha256(b" ".join(words)).hexdigest())
             anchors.append(np.unique(runs[places]).view(np.int64))
@@ -87,7 +86,7 @@ def _extended(suspects: DataFrame, length: int) -> DataFrame:
     def per_batch(ids, fps, texts, anchors):
         starts, windows = [], []
         for text, known in zip(texts, anchors):
-            hashes = _hashes.of(_words(text))
+            hashes = worker_cache("words", WordHashes).of(_words(text))
             runs, places = anchors_of(hashes, length)
             # Every offset at which a window of this text has a repeated anchor as its own.
             own = np.flatnonzero(np.isin(runs[places], np.array(known, dtype=np.int64).view(np.uint64)))
