@@ -218,7 +218,7 @@ class Codec:
         return known
 
     def encode(self, texts: list[str]):
-        """The ids of each text, in order, as arrays."""
+        """The ids of each text, in order."""
         group, size = [], 0
         for i, text in enumerate(texts):
             group.append(CHUNKS.findall(text))
@@ -226,7 +226,7 @@ class Codec:
             if size >= REPLAY_CHARS or i == len(texts) - 1:
                 known = self.learn(set(chain.from_iterable(group)))
                 for chunks in group:
-                    yield array("i", b"".join(map(known.__getitem__, chunks)))
+                    yield array("i", b"".join(map(known.__getitem__, chunks))).tolist()
                 group, size = [], 0
 
     def decode(self, ids) -> bytes:
@@ -242,7 +242,7 @@ def encode_texts(docs: DataFrame, path: str | None = None, key: str = "doc_id",
     """Per row: ``key`` and the token ids of its whole text."""
 
     def per_batch(keys, texts):
-        return {key: keys, "ids": [ids.tolist() for ids in codec(path).encode([t or "" for t in texts])]}
+        return {key: keys, "ids": list(codec(path).encode([t or "" for t in texts]))}
 
     fields = pa.schema([(key, pa.int64()), ("ids", pa.list_(pa.int32()))])
     return map_rows(docs, [key, text], f"`{key}` bigint, ids array<int>", fields, per_batch)

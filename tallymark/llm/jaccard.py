@@ -6,19 +6,26 @@ when 100 * intersection >= 85 * union. Equal sets are one class before anything
 Candidates. All sets order their shingles alike: rare ones first, by hash within. If two
 sets link, the first ``prefix_length`` shingles of both have one in common, so a set is
 listed under those alone. A short list's members are searched pair by pair. A long list
-is first linked to leaders, members of about the same size, one candidate each; then only
-members of different components are searched. Pairs whose parity sketches, which bound
-their overlap from above, rule out a link are never looked at again. Which shingles are common comes
+is first linked to leaders, members of about the same size, one candidate each. What then
+still lies in different components of a long list is searched in rounds: the members outside
+the list's largest component, in tiles, against all its members, in blocks, by parity
+sketches, which bound the overlap from above. A component proposes its likeliest pairs
+that have not been refused, one in the first round and more in later ones, until none is
+left; after each round components are found anew, so a large group of near copies is one
+after a round or two. Which shingles are common comes
 from counting every shingle of every document; the order is right whatever it holds, so it
 is kept as a bitmap of fixed size, which is all that is broadcast.
 
 Verification. For each set with candidates the shingle lists over them are searched for
 members with the required overlap: short lists merged with a heap, long ones probed.
 
+Texts are cut into shingles twice: once for sets, sketches and counts, and once, when it
+is known which shingles are common, for the lists.
+
 Defined results: ASCII letters are lower-cased, no others; with one to three words the
 whole sequence is the only shingle; null, empty or blank texts have no shingle, link with
 nothing and are their own component; a null doc_id never represents a component (it takes
-that of its class, null if the class has no id); repeated rows link with each other; ties
+that of its class, null if the class has no id), but links through it count; repeated rows link with each other; very long texts are whole sets; ties
 in size are ordered by the set's hash; extra columns are ignored; an empty table gives an
 empty result.
 """
@@ -27,6 +34,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from heapq import nlargest
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +54,12 @@ COMMON = 24
 BITMAP_BITS = 24
 # Bits of a sketch that tells from below how much two sets differ.
 SKETCH_BITS = 1024
+# Members compared in one task: of a list's smaller components, and of the whole list.
+TILE, BLOCK = 512, 16_384
+# Sketches compared at once.
+CHUNK = 512
+# How many times more pairs a component proposes from round to round.
+STEP = 8
 # Rows up to which a side may be broadcast: 24 bytes each make 12 MB.
 BROADCAST_ROWS = 500_000
 
@@ -88,32 +102,6 @@ def _bounded(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def _sets(rows: DataFrame) -> DataFrame:
-    """Per row: doc_id, text fingerprint, number of shingles, hash and sketch of the set (null: no shingle)."""
-
-    def per_batch(ids, fps, texts):
-        sets = [shingles(t) for t in texts]
-        return {
-            "doc_id": ids,
-            "fp": fps,
-            "n_shingles": [len(s) for s in sets],
-            "sid": [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None for s in sets],
-            "sketch": [sketch(s) if len(s) else None for s in sets],
-        }
-
-    fields = pa.schema(
-        [
-            ("doc_id", pa.int64()),
-            ("fp", pa.int64()),
-            ("n_shingles", pa.int64()),
-            ("sid", pa.int64()),
-            ("sketch", pa.binary()),
-        ]
-    )
-    schema = "doc_id bigint, fp bigint, n_shingles bigint, sid bigint, sketch binary"
-    return map_rows(rows, ["doc_id", "fp", "text"], schema, fields, per_batch)
-
-
 def _packed(values: np.ndarray) -> bytes:
     """Sorted numbers as compressed differences, bytes of equal weight side by side."""
     steps = np.diff(values, prepend=np.uint64(0)).astype("<u8")
@@ -125,41 +113,74 @@ def _unpacked(blob: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(raw.reshape(8, -1).T).view("<u8").ravel(), dtype=np.uint64)
 
 
-def common_shingles(rows: DataFrame) -> np.ndarray:
-    """A bitmap of the shingles that many documents hold, by the first BITMAP_BITS bits of their hash.
+_SETS = ("doc_id", "fp", "n_shingles", "sid", "sketch")
+_COUNTS = ("range", "shingles", "counts")
+
 
-    Each batch sends its shingles, counted and packed, to the task of their range; a range
-    is one of many equal parts of all hashes, as a partition of any other shuffle.
+def _sets_and_counts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """From one pass over the texts, written: a row for each document, and packed counts of shingles.
+
+    Documents: doc_id, text fingerprint, number of shingles, hash and sketch of the set
+    (null: no shingle). Counts: each batch's shingles by range, one of many equal parts of all hashes.
     """
-    spark = rows.sparkSession
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.rdd.getNumPartitions())
+    ranges = _ranges(rows)
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = np.array([(i << 48) // ranges for i in range(1, ranges)], dtype=np.uint64)
 
-        def packed(held):
+        def counted(held):
             values, counts = np.unique(np.concatenate(held), return_counts=True)
             cuts = [0, *np.searchsorted(values, edges).tolist(), len(values)]
-            out = {"range": [], "shingles": [], "counts": []}
-            for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                if a < b:
-                    out["range"].append(i)
-                    out["shingles"].append(_packed(values[a:b]))
-                    out["counts"].append(zlib.compress(counts[a:b].astype("<u4").tobytes(), 1))
+            parts = [(i, a, b) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+            out = {name: [None] * len(parts) for name in _SETS}
+            out["range"] = [i for i, _, _ in parts]
+            out["shingles"] = [_packed(values[a:b]) for _, a, b in parts]
+            out["counts"] = [zlib.compress(counts[a:b].astype("<u4").tobytes(), 1) for _, a, b in parts]
             return pa.RecordBatch.from_pydict(out, schema=fields)
 
         held, size = [], 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                held.append(shingles(text) >> np.uint64(16))
-                size += len(held[-1])
-                if size >= 8_000_000:
-                    yield packed(held)
+            sets = []
+            for text in batch.column(2).to_pylist():
+                own = shingles(text)
+                if len(own):
+                    sets.append((len(own), xxhash.xxh3_64_intdigest(own.tobytes()) - (1 << 63), sketch(own)))
+                    held.append(own >> np.uint64(16))
+                    size += len(own)
+                else:
+                    sets.append((0, None, None))
+                if size >= 6_000_000:
+                    yield counted(held)
                     held, size = [], 0
+            out = dict(zip(("n_shingles", "sid", "sketch"), zip(*sets) if sets else ((), (), ())))
+            out |= {"doc_id": batch.column(0), "fp": batch.column(1)}
+            out |= {name: [None] * batch.num_rows for name in _COUNTS}
+            yield pa.RecordBatch.from_pydict(out, schema=fields)
         if size:
-            yield packed(held)
+            yield counted(held)
+
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
+    fields = pa.schema(list(zip((*_SETS, *_COUNTS), kinds)))
+    schema = (
+        "doc_id bigint, fp bigint, n_shingles bigint, sid bigint, sketch binary, "
+        "range int, shingles binary, counts binary"
+    )
+    written = durable(rows.select("doc_id", "fp", "text").mapInArrow(work, schema), "sets-and-counts")
+    return (
+        written.where("range IS NULL").select(*_SETS),
+        written.where("range IS NOT NULL").select(*_COUNTS),
+    )
+
 
-    fields = pa.schema([("range", pa.int32()), ("shingles", pa.binary()), ("counts", pa.binary())])
+def _ranges(rows: DataFrame) -> int:
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.rdd.getNumPartitions())
+
+
+def common_shingles(packed: DataFrame, ranges: int) -> np.ndarray:
+    """A bitmap of the shingles that many documents hold, by the first BITMAP_BITS bits of their hash.
+
+    The counts of a range come together in the task of that range, as a partition of any other shuffle.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, counts = [], []
@@ -177,9 +198,8 @@ def common_shingles(rows: DataFrame) -> np.ndarray:
                 schema=pa.schema([("place", pa.int64()), ("level", pa.int32())]),
             )
 
-    packed_rows = rows.select("text").mapInArrow(pack, "range int, shingles binary, counts binary")
     often = durable(
-        packed_rows.repartition(ranges, "range").mapInArrow(count, "place bigint, level int"), "common-shingles"
+        packed.repartition(ranges, "range").mapInArrow(count, "place bigint, level int"), "common-shingles"
     )
     # Raise the bar by powers of two until the bitmap is at most an eighth full.
     level, held = 0, 0
@@ -226,14 +246,28 @@ def _listed(rows: DataFrame, bitmap: np.ndarray) -> DataFrame:
     return lists.select(F.explode("prefix").alias("shingle"), "size", "sid")
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """The rows of a sorted stream, each once."""
-    last = None
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The distinct rows (shingle, size, sid) of a sorted stream whose shingle has more than one.
+
+    Most shingles are one set's alone; their rows are dropped by whole columns. The last
+    row of a batch waits for the next batch, and with it whether its shingle came before it.
+    """
+    waiting, before = [np.empty(0, dtype=np.int64)] * 3, False
     for batch in batches:
-        for row in zip(*[batch.column(i).to_pylist() for i in range(batch.num_columns)]):
-            if row != last:
-                yield row
-            last = row
+        own = [batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)]
+        own = [np.concatenate(pair) for pair in zip(waiting, own)]
+        new = np.ones(len(own[0]), dtype=bool)
+        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in own])
+        own = [c[new] for c in own]
+        if not len(own[0]):
+            continue
+        shingle = own[0]
+        same = shingle[1:] == shingle[:-1]
+        several = np.concatenate([[before], same]) | np.concatenate([same, [False]])
+        waiting, before = [c[-1:] for c in own], bool(several[-1])
+        yield from zip(*[c[:-1][several[:-1]].tolist() for c in own])
+    if before:
+        yield tuple(int(c[0]) for c in waiting)
 
 
 _PAIRS = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("shingle", pa.int64()), ("size", pa.int32())])
@@ -251,14 +285,14 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def pair(x, y):
         if (x, y) not in seen:
-            if len(seen) > 500_000:
+            if len(seen) > 200_000:
                 seen.clear()
             seen.add((x, y))
             out.append((x, y, None, None))
 
     # A list is held until it turns out to be long; from then on its members pass by one at a time.
     current, members, leader = None, [], (0, 0)
-    for shingle, size, sid in _rows(batches):
+    for shingle, size, sid in _shared(batches):
         if shingle != current:
             current, members = shingle, []
         if members is not None and len(members) < SHORT_LIST:
@@ -281,43 +315,117 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
-def _between_components(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From sorted long lists: pairs of sets in different components that their sketches allow to link."""
+_CELL = ("shingle", "tile", "block", "member", "size", "sid", "component", "sketch", "refused")
+
+
+def _cells(long_lists: DataFrame, labels: DataFrame, sketches: DataFrame, refused: DataFrame | None) -> DataFrame:
+    """Rows of the long lists that hold several components, dealt out to cells.
+
+    A cell compares a tile of the members outside the list's largest component with a block
+    of all its members, whatever the list's length: a row goes to each cell of its tile or block.
+    """
+    placed = durable(
+        long_lists.join(labels, F.col("sid") == F.col("node"), "left").select(
+            "shingle", "size", "sid", F.coalesce("component", "sid").alias("component")
+        ),
+        "long-lists",
+    )
+    shares = placed.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("_n"))
+    lists = shares.groupBy("shingle").agg(
+        F.sum("_n").alias("_all"), F.max("_n").alias("_most"), F.max_by("component", "_n").alias("_major")
+    )
+    lists = durable(lists.where("_all > _most"), "mixed-lists")
+    mixed = placed.join(_bounded(lists, lists.count()), "shingle").join(sketches, "sid")
+    tiles = F.ceil((F.col("_all") - F.col("_most")) / TILE)
+    blocks = F.ceil(F.col("_all") / BLOCK)
+    spread = F.xxhash64("sid", F.lit(3))
+    minor = mixed.where("component <> _major")
+    if refused is not None:
+        known = refused.groupBy("x").agg(F.collect_set("y").alias("refused"))
+        minor = minor.join(known, F.col("sid") == F.col("x"), "left").drop("x")
+    else:
+        minor = minor.withColumn("refused", F.lit(None).cast("array<bigint>"))
+    queries = minor.select(
+        "shingle",
+        F.pmod(spread, tiles).alias("tile"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("block"),
+        F.lit(False).alias("member"),
+        *_CELL[4:],
+    )
+    members = mixed.select(
+        "shingle",
+        F.explode(F.sequence(F.lit(0).cast("bigint"), tiles - 1)).alias("tile"),
+        F.pmod(spread, blocks).alias("block"),
+        F.lit(True).alias("member"),
+        *_CELL[4:-1],
+        F.lit(None).cast("array<bigint>").alias("refused"),
+    )
+    return queries.unionByName(members)
+
+
+def _between_components(cells: DataFrame, most: int) -> DataFrame:
+    """Of each cell, the likeliest pairs of members of different components, ``most`` for each smaller component."""
     fields = pa.schema([("x", pa.int64()), ("y", pa.int64())])
-    seen: set[tuple[int, int]] = set()
-
-    def pairs(members):
-        sizes = np.array([m[0] for m in members], dtype=np.int64)
-        sids = np.array([m[1] for m in members], dtype=np.int64)
-        own = np.array([m[2] for m in members], dtype=np.int64)
-        sketches = np.frombuffer(b"".join(m[3] for m in members), dtype=np.uint64).reshape(len(members), -1)
-        first = np.searchsorted(sizes, -(-PERCENT * sizes // 100))
-        xs, ys = [], []
-        for i in range(1, len(members)):
-            near = first[i] + np.flatnonzero(own[first[i] : i] != own[i])
+
+    def compared(queries, members, found):
+        """Adds to ``found`` what the sketches allow: (differences to spare, query, member) by component."""
+        sizes, sids, own, sketches, refused = queries
+        m_sizes, m_sids, m_own = (np.array(c, dtype=np.int64) for c in zip(*[m[:3] for m in members]))
+        m_sketches = np.frombuffer(b"".join(m[3] for m in members), dtype=np.uint64).reshape(len(members), -1)
+        for i in range(len(sizes)):
+            both = sizes[i] + m_sizes
+            near = np.flatnonzero(
+                (m_own != own[i]) & (100 * np.minimum(sizes[i], m_sizes) >= PERCENT * np.maximum(sizes[i], m_sizes))
+            )
             if not len(near):
                 continue
-            differ = np.bitwise_count(sketches[near] ^ sketches[i]).sum(axis=1, dtype=np.int64)
-            both = sizes[near] + sizes[i]
-            near = near[differ <= both - 2 * -(-PERCENT * both // (100 + PERCENT))]
-            for y in sids[near].tolist():
-                if (pair := (int(sids[i]), y)) not in seen:
-                    if len(seen) > 500_000:
-                        seen.clear()
-                    seen.add(pair)
-                    xs.append(pair[0])
-                    ys.append(y)
-        return pa.RecordBatch.from_pydict({"x": xs, "y": ys}, schema=fields)
-
-    current, members = None, []
-    for shingle, *member in _rows(batches):
-        if shingle != current:
-            if len(members) > 1:
-                yield pairs(members)
-            current, members = shingle, []
-        members.append(member)
-    if len(members) > 1:
-        yield pairs(members)
+            differ = np.bitwise_count(m_sketches[near] ^ sketches[i]).sum(axis=1, dtype=np.int64)
+            spare = both[near] - 2 * -(-PERCENT * both[near] // (100 + PERCENT)) - differ
+            for k in np.flatnonzero(spare >= 0).tolist():
+                if (y := int(m_sids[near[k]])) not in refused[i]:
+                    found.setdefault(own[i], []).append((int(spare[k]), int(sids[i]), y))
+
+    def chosen(found):
+        pairs = {(x, y) for own in found.values() for _, x, y in nlargest(most, own)}
+        return pa.RecordBatch.from_pydict({"x": [x for x, _ in pairs], "y": [y for _, y in pairs]}, schema=fields)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, held, queries, members, found = None, [], None, [], {}
+        for batch in batches:
+            for row in zip(*[batch.column(i).to_pylist() for i in range(len(_CELL))]):
+                if row[:3] != cell:
+                    if members:
+                        compared(queries, members, found)
+                    if found:
+                        yield chosen(found)
+                    cell, held, queries, members, found = row[:3], [], None, [], {}
+                if not row[3]:
+                    held.append(row[4:])
+                    continue
+                if queries is None:  # a cell's queries come before its members
+                    if not held:
+                        continue
+                    sizes, sids, own, sketches, refused = zip(*held)
+                    queries = (sizes, sids, own, [np.frombuffer(k, dtype=np.uint64) for k in sketches], [set(r or ()) for r in refused])
+                members.append(row[4:8])
+                if len(members) == CHUNK:
+                    compared(queries, members, found)
+                    members = []
+                    # Only the likeliest can be chosen.
+                    found = {c: nlargest(most, own) if len(own) > 4 * most else own for c, own in found.items()}
+        if members:
+            compared(queries, members, found)
+        if found:
+            yield chosen(found)
+
+    return (
+        cells.select(*_CELL)
+        .repartition("shingle", "tile", "block")
+        .sortWithinPartitions("shingle", "tile", "block", "member")
+        .mapInArrow(work, "x bigint, y bigint")
+        .select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
+        .distinct()
+    )
 
 
 def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -345,11 +453,15 @@ def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
-    """The pairs whose sets link, as (a, b)."""
-    pairs = durable(_possible(pairs, classes), "candidate-pairs")
+    """The pairs (x, y) whose sets link, as (a, b)."""
     needed = pairs.select(F.col("x").alias("sid")).union(pairs.select(F.col("y").alias("sid"))).distinct()
-    members = durable(needed.join(classes, "sid").select("sid", "doc_id", "fp"), "candidate-texts")
-    texts = rows.join(_bounded(members, members.count()), ["doc_id", "fp"]).select("sid", "text")
+    members = durable(
+        needed.join(classes, "sid").select("sid", F.col("doc_id").alias("_id"), F.col("fp").alias("_fp")), "candidate-texts"
+    )
+    held = _bounded(members, members.count())
+    same = rows["doc_id"].eqNullSafe(held["_id"]) & rows["fp"].eqNullSafe(held["_fp"])
+    # Rows that repeat id and text are one: a set a class.
+    texts = rows.join(held, same).groupBy("sid").agg(F.first("text").alias("text"))
 
     def per_batch(sids, contents):
         return {"sid": sids, "set": [_packed(shingles(t)) for t in contents]}
@@ -399,7 +511,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     rows = docs.select(
         F.col(key).cast("bigint").alias("doc_id"), F.xxhash64(F.col(text)).alias("fp"), F.col(text).alias("text")
     )
-    sets = durable(_sets(rows), "sets")
+    sets, packed = _sets_and_counts(rows)
     classes = durable(
         sets.where("sid IS NOT NULL")
         .groupBy("sid")
@@ -411,33 +523,31 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
         .select("sid", "m.doc_id", "m.fp", "n_shingles", "sketch"),
         "classes",
     )
-    listed = _listed(rows, common_shingles(rows)).repartition("shingle").sortWithinPartitions("shingle", "size", "sid")
+    bitmap = common_shingles(packed, _ranges(rows))
+    listed = _listed(rows, bitmap).repartition("shingle").sortWithinPartitions("shingle", "size", "sid")
     candidates = durable(
         listed.mapInArrow(_candidates, "x bigint, y bigint, shingle bigint, size int"), "candidates"
     )
-    links = _verified(candidates.where("y IS NOT NULL"), classes, rows)
+    possible = durable(_possible(candidates.where("y IS NOT NULL"), classes), "candidate-pairs")
+    links = _verified(possible, classes, rows)
     first = components(links)
-    # Long lists again, those that still hold members of different components.
-    long_lists = durable(
-        candidates.where("y IS NULL")
-        .select("shingle", "size", F.col("x").alias("sid"))
-        .join(first, F.col("sid") == F.col("node"), "left")
-        .select("shingle", "size", "sid", F.coalesce("component", "sid").alias("component")),
-        "long-lists",
-    )
-    mixed = long_lists.groupBy("shingle").agg(F.min("component").alias("_a"), F.max("component").alias("_b"))
-    long_lists = durable(long_lists.join(mixed.where("_a < _b").select("shingle"), "shingle"), "mixed-lists")
-
-    between = (
-        long_lists.join(classes.select("sid", "sketch"), "sid")
-        .select("shingle", "size", "sid", "component", "sketch")
-        .repartition("shingle")
-        .sortWithinPartitions("shingle", "size", "sid")
-    )
-    more = durable(between.mapInArrow(_between_components, "x bigint, y bigint"), "more-candidates")
-    if not more.isEmpty():
-        links = links.union(_verified(more, classes, rows))
-        first = components(links)
+    # Long lists again, those that still hold members of different components, until
+    # no pair of these is left that might link.
+    long_lists = candidates.where("y IS NULL").select("shingle", "size", F.col("x").alias("sid"))
+    sketches, refused, most = classes.select("sid", "sketch"), None, 1
+    while True:
+        more = durable(_between_components(_cells(long_lists, first, sketches, refused), most), "more-candidates")
+        if more.isEmpty():
+            break
+        found = _verified(more, classes, rows)
+        failed = more.join(found, (F.col("x") == F.col("a")) & (F.col("y") == F.col("b")), "left_anti")
+        # Either member of a refused pair may be the one to propose it again.
+        failed = failed.union(failed.select(F.col("y").alias("x"), F.col("x").alias("y")))
+        refused = durable(failed if refused is None else refused.union(failed), "refused-pairs")
+        if not found.isEmpty():
+            links = links.union(found)
+            first = components(links)
+        most *= STEP
     joined = durable(
         classes.join(first, F.col("sid") == F.col("node"), "left").select(
             "sid", F.col("doc_id").alias("_class_id"), F.coalesce("component", "sid").alias("component")

@@ -11,6 +11,7 @@ from collections import Counter
 from itertools import combinations
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from compare import assert_same
@@ -148,6 +149,56 @@ def test_jaccard_awkward_rows(awkward, nothing):
     assert jaccard.one_of_each(awkward).columns == awkward.columns
 
 
+LETTERS = "a b c d e f g h i j k l m n o p q r s t u v w x y z aa bb".split()
+
+
+def test_rows_without_id_link_like_others(spark):
+    """As an end of a link, and as the only bridge between two others."""
+    texts = [" ".join(LETTERS[i : i + 26]) for i in range(3)]
+    rows = [(5, texts[0]), (None, texts[1]), (9, texts[2]), (7, "other words than those"), (None, "all alone here now")]
+    found = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert Counter(tuple(r) for r in found.drop("fp").collect()) == brute_components(rows)
+    assert (9, 5) in {(r.doc_id, r.component_id) for r in found.collect()}
+
+
+def test_repeated_rows_do_not_multiply(spark, monkeypatch):
+    base = near_copies(3, 200, 9)
+    rows = [(1, base[0])] * 200 + [(2, base[1])] * 200 + [(3, base[2])] + [(n, t) for n, t in enumerate(near_copies(20, 200, 9), 10)]
+    sizes, verified = [], jaccard._verified
+
+    def counted(pairs, classes, texts):
+        found = verified(pairs, classes, texts)
+        sizes.append((pairs.count(), found.count()))
+        return found
+
+    monkeypatch.setattr(jaccard, "_verified", counted)
+    found = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert Counter(tuple(r) for r in found.drop("fp").collect()) == brute_components(rows)
+    assert all(links <= pairs for pairs, links in sizes) and sum(p for p, _ in sizes) < 100
+
+
+def test_lists_are_searched_in_tiles_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "TILE", 3)
+    monkeypatch.setattr(jaccard, "BLOCK", 5)
+    monkeypatch.setattr(jaccard, "CHUNK", 2)
+    monkeypatch.setattr(jaccard, "SHORT_LIST", 3)
+    rows = list(enumerate([*near_copies(40, 60, 5), *near_copies(30, 60, 6)]))
+    found = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6))
+    assert Counter(tuple(r) for r in found.drop("fp").collect()) == brute_components(rows)
+
+
+def test_shared_rows_of_a_sorted_stream():
+    rows = [(1, 5, 1), (2, 5, 1), (2, 5, 1), (3, 5, 1), (3, 6, 2), (3, 7, 3), (4, 1, 1), (5, 1, 1), (5, 2, 2)]
+    counts = Counter(r[0] for r in set(rows))
+    want = sorted({r for r in rows if counts[r[0]] > 1})
+    for size in (1, 2, 3, 4, 9):
+        batches = [
+            pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i : i + size])], names=["shingle", "size", "sid"])
+            for i in range(0, len(rows), size)
+        ]
+        assert list(jaccard._shared(iter(batches))) == want
+
+
 def brute_substrings(rows, length=50):
     words = [(i, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t in rows]
     first = {}
