@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import counters as C, messages as M
+from ..session import frozen
 from .counting import declared_counts
 from .hotkeys import HOT_ROWS, previous, running
 from .reconcile import latest_declared
@@ -15,9 +16,6 @@ RISING = "rising"
 FALLING = "falling"
 EDGES = (RISING, FALLING)
 
-# Sorts a control message before any data record of the same moment.
-_FIRST = -(2**63)
-
 
 def running_column(type_name: str) -> str:
     return f"running_{M.slug(type_name)}"
@@ -32,12 +30,11 @@ def running_counts(
 ) -> DataFrame:
     """Every record with its request's counts per type so far, itself included.
 
-    ``order_by`` is a time column and, where times repeat within a request, an
-    integer that tells the records apart.
+    ``order_by`` orders the records of a request without ties: a time column and, where
+    times repeat within a request, one or more that tell the records apart.
     """
-    tie = order_by[1] if len(order_by) == 2 else None
     sums = {running_column(t): C.type_flag(F.col("type"), t) for t in types}
-    return running(data, keys, order_by, sums, tie=tie, hot_rows=hot_rows)
+    return running(data, keys, order_by, sums, hot_rows=hot_rows)
 
 
 def first_completion(
@@ -61,7 +58,6 @@ def first_completion(
         F.col(ts).alias("_ts"),
         F.lit(0).alias("_kind"),
         F.col(seq).cast("bigint").alias("_seq"),
-        F.lit(_FIRST).cast("bigint").alias("_tie"),
         F.struct(*declared_names).alias("_declared"),
         F.lit(None).cast("string").alias("_type"),
     )
@@ -70,7 +66,6 @@ def first_completion(
         F.col(ts).alias("_ts"),
         F.lit(1).alias("_kind"),
         F.col(seq).cast("bigint").alias("_seq"),
-        F.col(seq).cast("bigint").alias("_tie"),
         F.lit(None).cast(controls.schema["_declared"].dataType).alias("_declared"),
         F.col("type").alias("_type"),
     )
@@ -80,7 +75,6 @@ def first_completion(
         ("_ts", "_kind", "_seq"),
         {running_column(t): C.type_flag(F.col("_type"), t) for t in types},
         {"_current": F.col("_declared")},
-        tie="_tie",
         hot_rows=hot_rows,
     )
     # Comparing an absent control message gives null, which the filter rejects.
@@ -177,7 +171,9 @@ def _edges_of_changes(
 def _edges_of_snapshots(
     history: DataFrame, keys: Sequence[str], ts: str, every: str, types: Sequence[str]
 ) -> DataFrame:
-    horizon = history.agg(F.max(ts).alias("_horizon"))
+    # Read twice below, so worked out once: who was complete when, and nothing else.
+    states = frozen(history.select(*keys, ts, C.is_complete(types).alias("_complete")), "snapshots")
+    horizon = states.agg(F.max(ts).alias("_horizon"))
     votes = F.array(
         F.struct(F.col(ts).alias("at"), F.lit(1).alias("now"), F.lit(0).alias("before")),
         F.struct(
@@ -185,7 +181,7 @@ def _edges_of_snapshots(
         ),
     )
     tally = (
-        history.where(C.is_complete(types))
+        states.where("_complete")
         .select(*keys, F.explode(votes).alias("_vote"))
         .groupBy(*keys, F.col("_vote.at").alias(ts))
         .agg(F.sum("_vote.now").alias("_now"), F.sum("_vote.before").alias("_before"))

@@ -1,145 +1,136 @@
-"""Running totals over a per-request timeline that hold up when one request is huge.
+"""Running totals over a per-request timeline that hold up when requests are huge.
 
 A window partitioned by the request puts each request's whole timeline in one
 task. That is right for almost every request and hopeless for one that owns a
-third of the rows. ``split_hot_keys`` cuts the timelines of such requests, and
-only those, into consecutive tiles; ``running`` then works tile by tile and adds
-to each tile what the tiles before it hold. The result is the same as that of
-the plain window.
+third of the rows. ``split_hot_keys`` sets apart the rows of such requests, and only
+those, and deals them out by range of (request, order), so that consecutive parts of
+a timeline become consecutive tiles of about equal size, whatever its values are.
+``running`` works tile by tile and adds to each tile what the tiles before it hold.
+Those totals are summed up as a tree: over FAN tiles, over FAN blocks of tiles, and
+so on, so that no window ever spans a whole long timeline. The result is the same as
+that of the plain window.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.counters import or_zero
-from ..session import shared_folder
+from ..session import frozen
 
-# A request below this many rows is sorted in one task without trouble.
+# A request up to this many rows is sorted in one task without trouble; so is a tile.
 HOT_ROWS = 5_000_000
-# At most this many requests can be hot: each must own more than 1/MAX_HOT of all rows.
-MAX_HOT = 1024
-# Cuts per hot timeline.
-CUTS = 63
+# Tiles, or blocks of them, whose totals one window adds up.
+FAN = 1024
+# Rows of keys and totals up to which a table is broadcast by hint; beyond it Spark decides.
+BROADCAST_ROWS = 100_000
 
 TILE = "_tile"
 
 
 @dataclass(frozen=True)
-class Tiled:
-    """Rows with a tile number, and the requests whose timelines were cut (None: no one's)."""
+class Split:
+    """``plain`` rows of requests that fit a task; ``hot`` rows of the others with their tile (None: no such request)."""
 
-    rows: DataFrame
+    plain: DataFrame
     hot: DataFrame | None
+    tiles: int
 
 
-def _large_groups(rows: DataFrame, groups: Sequence[str], least: int) -> DataFrame:
-    """Groups of more than ``least`` rows with their sizes, frozen; at most rows / least of them."""
-    sizes = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
-    return sizes.where(F.col("_n") > least).repartition(1).checkpoint()
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def _cut_points(rows: DataFrame, groups: Sequence[str], position: str) -> DataFrame:
-    """Per group, positions that divide its rows about evenly, frozen.
+def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
+    """Equal in all columns, null to null; the right side's are prefixed."""
+    return reduce(lambda a, b: a & b, [left[name].eqNullSafe(right[f"_of_{name}"]) for name in names])
 
-    Approximate percentiles may come out differently when Spark computes them
-    again, so they are checkpointed and read back. At most MAX_HOT rows of CUTS
-    values each, which is what makes broadcasting them safe.
-    """
-    shares = F.array(*[F.lit((i + 1) / (CUTS + 1)) for i in range(CUTS)])
-    points = rows.groupBy(*groups).agg(
-        F.array_sort(F.array_distinct(F.percentile_approx(position, shares, 10_000))).alias("_cuts")
-    )
-    return points.repartition(1).checkpoint()
 
-
-def _below(cuts: Column, position: Column) -> Column:
-    return F.size(F.filter(cuts, lambda cut: cut < position))
+def _prefixed(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    return df.withColumnsRenamed({name: f"_of_{name}" for name in names})
 
 
 def split_hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    position: str,
-    tie: str | None = None,
-    hot_rows: int | None = HOT_ROWS,
-) -> Tiled:
-    """Number the tiles of hot timelines; every other row is in tile 0 of its request.
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], hot_rows: int | None = HOT_ROWS
+) -> Split:
+    """Set apart requests of more than ``hot_rows`` rows and cut their timelines into tiles of about that size.
 
-    ``position`` is the first ordering column (a number, date or timestamp) and
-    ``tie`` the integer that orders rows of equal position. Tile numbers never
-    decrease along the timeline. A position that is itself a cut gets a tile of its
-    own, and when that tile is hot as well it is cut again along ``tie``.
+    ``order_by`` orders the rows of a request without ties; any sortable types will do,
+    and nulls come first. Tile numbers rise along the timeline. There are as many
+    tiles as the rows of all hot requests fill, however many requests that are.
     ``hot_rows=None`` skips the search for hot requests.
     """
-    plain = Tiled(df.withColumn(TILE, F.lit(0)), None)
     if hot_rows is None:
-        return plain
-    shared_folder(df.sparkSession)
-    large = _large_groups(df, keys, hot_rows)
-    total, largest = large.agg(F.sum("_n"), F.max("_n")).first()
-    # A timeline with less than its share of the large ones' rows is not what holds a
-    # stage up, and the share keeps the number of hot requests below MAX_HOT.
-    limit = max(hot_rows, (total or 0) // MAX_HOT)
-    if (largest or 0) <= limit:
-        return plain
-    hot = large.where(F.col("_n") > limit).select(*keys)
-    hot_df = df.join(F.broadcast(hot), list(keys), "left_semi")
-    cuts = _cut_points(hot_df, keys, position)
-
-    marked = df.join(F.broadcast(cuts), list(keys), "left")
-    on_cut = F.array_contains("_cuts", F.col(position))
-    number = 2 * _below(F.col("_cuts"), F.col(position)) + on_cut.cast("int")
-    tile = F.when(F.col("_cuts").isNull() | F.col(position).isNull(), F.lit(0)).otherwise(number)
-    rows = marked.withColumn(TILE, tile).drop("_cuts")
-    if tie is None:
-        return Tiled(rows, hot)
-
-    moments = [*keys, position]
-    crowded = _large_groups(hot_df, moments, limit).select(*moments)
-    if crowded.isEmpty():
-        return Tiled(rows, hot)
-    tie_cuts = _cut_points(hot_df.join(F.broadcast(crowded), moments, "left_semi"), moments, tie)
-    finer = rows.join(F.broadcast(tie_cuts), moments, "left")
-    within = F.when(F.col("_cuts").isNull() | F.col(tie).isNull(), F.lit(0)).otherwise(
-        _below(F.col("_cuts"), F.col(tie))
-    )
-    return Tiled(finer.withColumn(TILE, F.col(TILE) * (CUTS + 1) + within).drop("_cuts"), hot)
-
+        return Split(df, None, 0)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    large = frozen(sizes, "hot-requests")
+    requests, total = large.agg(F.count(F.lit(1)), F.sum("_n")).first()
+    if not requests:
+        return Split(df, None, 0)
+    marks = _small(_prefixed(large.select(*keys), keys), requests)
+    same = _same(df, marks, keys)
+    tiles = -(-total // hot_rows)
+    dealt = df.join(marks, same, "left_semi").repartitionByRange(tiles, *keys, *order_by)
+    # Written, because ranges come from a sample that another evaluation might draw differently.
+    hot = frozen(dealt.withColumn(TILE, F.spark_partition_id()), "hot-timelines")
+    return Split(df.join(marks, same, "left_anti"), hot, tiles)
+
+
+def _before(
+    totals: DataFrame, keys: Sequence[str], place: str, sums: Sequence[str], lasts: Sequence[str], places: int
+) -> DataFrame:
+    """Per request and place: what the request's smaller places add up to and leave behind.
 
-def _local_window(tiled: Tiled, keys: Sequence[str], order_by: Sequence[str]):
-    groups = list(keys) if tiled.hot is None else [*keys, TILE]
-    return Window.partitionBy(*groups).orderBy(*order_by)
+    Places are added up within blocks of FAN; what the blocks before hold is found in the
+    same way, from one row for each request and block.
+    """
+    block = f"{place}_block"
+    blocked = totals.withColumn(block, F.floor(F.col(place) / FAN))
+    earlier = Window.partitionBy(*keys, block).orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+    local = blocked.select(
+        *keys,
+        place,
+        block,
+        *[F.sum(name).over(earlier).alias(name) for name in sums],
+        *[F.last(name, ignorenulls=True).over(earlier).alias(name) for name in lasts],
+    )
+    if places <= FAN:
+        return local.drop(block)
+    blocks = blocked.groupBy(*keys, block).agg(
+        *[F.sum(name).alias(name) for name in sums],
+        *[F.max_by(name, F.when(F.col(name).isNotNull(), F.col(place))).alias(name) for name in lasts],
+    )
+    above = _prefixed(
+        _before(blocks, keys, block, sums, lasts, -(-places // FAN)), [*keys, block, *sums, *lasts]
+    )
+    return local.join(above, _same(local, above, [*keys, block]), "left").select(
+        *[local[name] for name in (*keys, place)],
+        *[(or_zero(F.col(name)) + or_zero(F.col(f"_of_{name}"))).alias(name) for name in sums],
+        *[F.coalesce(name, f"_of_{name}").alias(name) for name in lasts],
+    )
 
 
 def _carried(
-    tiled: Tiled,
-    keys: Sequence[str],
-    order_by: Sequence[str],
-    sums: Mapping[str, Column],
-    lasts: Mapping[str, Column],
+    split: Split, keys: Sequence[str], order_by: Sequence[str], sums: Mapping[str, Column], lasts: Mapping[str, Column]
 ) -> DataFrame:
-    """What the tiles before each tile of a hot timeline add up to and leave behind.
+    """What the tiles before each tile of a hot timeline hold, as prefixed columns.
 
-    Only hot requests are in it, so it has at most MAX_HOT x (2 x CUTS + 1) rows, plus
-    at most MAX_HOT x (CUTS + 1) for crowded moments: small enough to broadcast always.
+    A row for each tile and request in it: at most the number of tiles plus that of hot requests.
     """
     moment = F.struct(*order_by)
-    hot_rows_only = tiled.rows.join(F.broadcast(tiled.hot), list(keys), "left_semi")
-    tiles = hot_rows_only.groupBy(*keys, TILE).agg(
-        *[F.sum(column).alias(name) for name, column in sums.items()],
-        *[F.max_by(column, F.when(column.isNotNull(), moment)).alias(name) for name, column in lasts.items()],
+    totals = frozen(
+        split.hot.groupBy(*keys, TILE).agg(
+            *[F.sum(column).alias(name) for name, column in sums.items()],
+            *[F.max_by(column, F.when(column.isNotNull(), moment)).alias(name) for name, column in lasts.items()],
+        ),
+        "hot-totals",
     )
-    before = Window.partitionBy(*keys).orderBy(TILE).rowsBetween(Window.unboundedPreceding, -1)
-    return tiles.select(
-        *keys,
-        TILE,
-        *[F.sum(name).over(before).alias(f"_before_{name}") for name in sums],
-        *[F.last(name, ignorenulls=True).over(before).alias(f"_before_{name}") for name in lasts],
-    ).where(F.col(TILE) > 0)
+    before = _before(totals, keys, TILE, list(sums), list(lasts), split.tiles)
+    return _small(_prefixed(before, [*keys, TILE, *sums, *lasts]), totals.count())
 
 
 def running(
@@ -148,33 +139,37 @@ def running(
     order_by: Sequence[str],
     sums: Mapping[str, Column],
     lasts: Mapping[str, Column] | None = None,
-    tie: str | None = None,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Add running sums and last-seen values along each request's timeline, current row included.
 
     ``sums`` maps a new column to the bigint to add up, ``lasts`` maps a new column to
     the expression whose latest non-null value to carry. ``order_by`` must order the
-    rows of a request without ties; its first column is where hot timelines are cut,
-    and ``tie`` (see ``split_hot_keys``) must follow the order of the other columns.
+    rows of a request without ties.
     """
     lasts = lasts or {}
-    tiled = split_hot_keys(df, keys, order_by[0], tie, hot_rows)
-    along = _local_window(tiled, keys, order_by).rowsBetween(Window.unboundedPreceding, 0)
-    local = tiled.rows.withColumns(
-        {
-            **{name: F.sum(column).over(along) for name, column in sums.items()},
-            **{name: F.last(column, ignorenulls=True).over(along) for name, column in lasts.items()},
-        }
-    )
-    if tiled.hot is None:
-        return local.drop(TILE)
-    carried = F.broadcast(_carried(tiled, keys, order_by, sums, lasts))
-    return local.join(carried, [*keys, TILE], "left").select(
+
+    def along(rows: DataFrame, groups: Sequence[str]) -> DataFrame:
+        so_far = Window.partitionBy(*groups).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
+        return rows.withColumns(
+            {
+                **{name: F.sum(column).over(so_far) for name, column in sums.items()},
+                **{name: F.last(column, ignorenulls=True).over(so_far) for name, column in lasts.items()},
+            }
+        )
+
+    split = split_hot_keys(df, keys, order_by, hot_rows)
+    plain = along(split.plain, keys)
+    if split.hot is None:
+        return plain
+    local = along(split.hot, [*keys, TILE])
+    carried = _carried(split, keys, order_by, sums, lasts)
+    hot = local.join(carried, _same(local, carried, [*keys, TILE]), "left").select(
         *df.columns,
-        *[(F.col(name) + or_zero(F.col(f"_before_{name}"))).alias(name) for name in sums],
-        *[F.coalesce(name, f"_before_{name}").alias(name) for name in lasts],
+        *[(F.col(name) + or_zero(F.col(f"_of_{name}"))).alias(name) for name in sums],
+        *[F.coalesce(name, f"_of_{name}").alias(name) for name in lasts],
     )
+    return plain.unionByName(hot)
 
 
 def previous(
@@ -183,15 +178,20 @@ def previous(
     order_by: Sequence[str],
     value: str,
     name: str,
-    tie: str | None = None,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Add the value (never null) that the row before had on the same request's timeline."""
-    tiled = split_hot_keys(df, keys, order_by[0], tie, hot_rows)
-    local = tiled.rows.withColumn(name, F.lag(value).over(_local_window(tiled, keys, order_by)))
-    if tiled.hot is None:
-        return local.drop(TILE)
-    carried = F.broadcast(_carried(tiled, keys, order_by, {}, {name: F.col(value)}))
-    return local.join(carried, [*keys, TILE], "left").select(
-        *df.columns, F.coalesce(name, f"_before_{name}").alias(name)
+
+    def along(rows: DataFrame, groups: Sequence[str]) -> DataFrame:
+        return rows.withColumn(name, F.lag(value).over(Window.partitionBy(*groups).orderBy(*order_by)))
+
+    split = split_hot_keys(df, keys, order_by, hot_rows)
+    plain = along(split.plain, keys)
+    if split.hot is None:
+        return plain
+    local = along(split.hot, [*keys, TILE])
+    carried = _carried(split, keys, order_by, {}, {name: F.col(value)})
+    hot = local.join(carried, _same(local, carried, [*keys, TILE]), "left").select(
+        *df.columns, F.coalesce(name, f"_of_{name}").alias(name)
     )
+    return plain.unionByName(hot)

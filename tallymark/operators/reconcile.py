@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -12,15 +13,35 @@ from .counting import declared_counts, type_counts
 
 _TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 _WHOLE_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+# Microseconds beyond any time Spark can hold.
+_NO_TIME = 900_000_000_000_000_000
+_DAY_US = 86_400_000_000
+
+
+def _micros(column: str, kind: T.DataType) -> Column:
+    """Microseconds since 1970 of a date or time; of a wall-clock time, whatever the session's zone is."""
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(column)
+    days = F.unix_date(F.to_date(column)).cast("bigint") * _DAY_US
+    if isinstance(kind, T.DateType):
+        return days
+    seconds = F.hour(column) * 3600 + F.minute(column) * 60
+    return days + seconds.cast("bigint") * 1_000_000 + (F.extract(F.lit("SECOND"), column) * 1_000_000).cast("bigint")
 
 
 def ordering(df: DataFrame, columns: Sequence[str], unknown_first: bool = True) -> Column:
     """Sort key of one or more columns as a single comparable column that is never null.
 
     A row without a time or number sorts before all others, or after them, so that
-    it is taken only where there is no better one. A lone time or number keeps a fixed
-    width, with which Spark can use a hash aggregation.
+    it is taken only where there is no better one. A lone time or number, and a time with a
+    number behind it, keep a fixed width, with which Spark can use a hash aggregation.
     """
+    kinds = [df.schema[c].dataType for c in columns]
+    if len(columns) == 2 and isinstance(kinds[0], _TIMES) and isinstance(kinds[1], _WHOLE_NUMBERS):
+        # One decimal: microseconds in front, the number in the last 65 bits.
+        micros = F.coalesce(_micros(columns[0], kinds[0]), F.lit(-_NO_TIME if unknown_first else _NO_TIME))
+        number = F.coalesce(F.col(columns[1]).cast("decimal(20,0)"), F.lit(Decimal(-(2**63) - 1 if unknown_first else 2**63)))
+        return micros.cast("decimal(18,0)") * F.lit(Decimal(2**65)) + number.cast("decimal(20,0)")
     if len(columns) == 1:
         kind = df.schema[columns[0]].dataType
         if isinstance(kind, _TIMES):

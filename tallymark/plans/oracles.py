@@ -99,7 +99,138 @@ SELECT event_id AS "offset",
        CASE damage WHEN 0 THEN 'BAD_VALUE' WHEN 1 THEN 'NULL_VALUE' WHEN 2 THEN 'BAD_KEY' WHEN 3 THEN 'NULL_KEY' END AS error
 FROM data"""
 
+_HOT = """
+hot AS (
+  SELECT CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS user_id, CASE WHEN user_id % 3 <> 0 THEN day END AS day,
+         ts, seq, t, m FROM data)"""
+
+# What the streams over slices take: records of the two known types, and an announcement per request.
+_KNOWN = """
+known AS (SELECT *, (day(ts) - 1) // 5 AS slice FROM data WHERE t + m > 0)"""
+
+_USER_GOAL = """
+goal AS (
+  SELECT user_id, min(ts) AS ts, (day(min(ts)) - 1) // 5 AS slice,
+         CAST(sum(CASE WHEN ts < TIMESTAMP '2024-01-16' THEN t ELSE 0 END) AS BIGINT) AS ct,
+         CAST(sum(CASE WHEN ts < TIMESTAMP '2024-01-16' THEN m ELSE 0 END) AS BIGINT) AS cm
+  FROM data GROUP BY user_id)"""
+
+_STATUS = """CASE WHEN ct = dt AND cm = dm THEN 'COMPLETE' WHEN n_data = 0 THEN 'NO_DATA'
+              WHEN ct < dt OR cm < dm THEN 'OVER' ELSE 'INCOMPLETE' END"""
+
+# A user's day as a session: its announcement and known records, closed a day after the last of them.
+_SESSIONS = """
+sessions AS (
+  SELECT control.user_id, control.day, ct, cm, dt, dm, greatest(control.ts, coalesce(max(known.ts), control.ts)) AS last_ts
+  FROM control LEFT JOIN known ON known.user_id = control.user_id AND known.day = control.day
+  GROUP BY control.user_id, control.day, ct, cm, dt, dm, control.ts),
+closed AS (
+  SELECT * FROM sessions
+  WHERE last_ts + INTERVAL 1 DAY <= (SELECT date_trunc('milliseconds', max(last_ts) - INTERVAL 1 HOUR) FROM sessions))"""
+
 ORACLES = {
+    "declared_or_fail": f"""
+        WITH keyed AS (SELECT o_orderkey AS order_key FROM orders)
+        SELECT {ORDER_KEY}, CAST(order_key % 7 AS BIGINT) AS declared_trade_data,
+               CAST(order_key % 5 AS BIGINT) AS declared_market_data FROM keyed""",
+    "latest_declared": f"""
+        WITH {_REVISIONS},
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY order_key ORDER BY ts DESC, seq DESC) AS rank FROM revisions)
+        SELECT {ORDER_KEY}, CAST(trades AS BIGINT) AS declared_trade_data,
+               CAST(order_key % 5 AS BIGINT) AS declared_market_data
+        FROM ranked WHERE rank = 1""",
+    "decode_text": _DECODED,
+    "published_repeatedly": f"""
+        WITH {_DATA}, {_KNOWN},
+        had AS (SELECT user_id, day, CAST(sum(t) AS BIGINT) AS t, CAST(sum(m) AS BIGINT) AS m FROM known GROUP BY user_id, day)
+        SELECT {DAY_KEY}, t AS declared_trade_data, m AS declared_market_data, t AS received_trade_data,
+               m AS received_market_data, CAST(0 AS BIGINT) AS delta_trade_data, CAST(0 AS BIGINT) AS delta_market_data,
+               TRUE AS has_control, TRUE AS has_data, 'COMPLETE' AS status
+        FROM had""",
+    "consumed_notices": f"""
+        WITH {_DATA}, {_KNOWN}
+        SELECT DISTINCT {USER_KEY}, concat('REQ-', user_id, ' Finished.') AS message FROM known""",
+    "stream_restarted": f"""
+        WITH {_DATA}, {_KNOWN}, {_USER_GOAL},
+        had AS (
+          SELECT user_id, ct, cm, CAST(coalesce(sum(known.t), 0) AS BIGINT) AS dt,
+                 CAST(coalesce(sum(known.m), 0) AS BIGINT) AS dm, count(known.seq) AS n_data
+          FROM goal LEFT JOIN known USING (user_id) GROUP BY user_id, ct, cm)
+        SELECT {USER_KEY}, ct AS declared_trade_data, cm AS declared_market_data, dt AS received_trade_data,
+               dm AS received_market_data, TRUE AS has_control, n_data > 0 AS has_data, {_STATUS} AS status
+        FROM had""",
+    "state_history": f"""
+        WITH {_DATA}, {_KNOWN}, {_USER_GOAL},
+        sent AS (
+          SELECT user_id, slice, ts, t, m, 1 AS n FROM known UNION ALL SELECT user_id, slice, ts, 0, 0, 0 FROM goal),
+        had AS (
+          SELECT user_id, slice, sum(t) AS t, sum(m) AS m, sum(n) AS n, max(ts) AS ts FROM sent GROUP BY user_id, slice),
+        so_far AS (
+          SELECT user_id, slice, ct, cm, CAST(sum(t) OVER w AS BIGINT) AS dt, CAST(sum(m) OVER w AS BIGINT) AS dm,
+                 sum(n) OVER w AS n_data, max(had.ts) OVER w AS last_ts
+          FROM had JOIN (SELECT user_id, ct, cm FROM goal) g USING (user_id)
+          WINDOW w AS (PARTITION BY user_id ORDER BY slice))
+        SELECT CAST(slice AS BIGINT) AS batch_id, {USER_KEY}, ct AS declared_trade_data, cm AS declared_market_data,
+               dt AS received_trade_data, dm AS received_market_data, TRUE AS has_control, n_data > 0 AS has_data,
+               last_ts, {_STATUS} AS status
+        FROM so_far""",
+    "stream_session_expiry": f"""
+        WITH {_DATA}, {_KNOWN}, {_EVENT_CONTROL}, {_SESSIONS}
+        SELECT {DAY_KEY}, CASE WHEN ct = dt THEN 'COMPLETE' ELSE 'EXPIRED' END AS status,
+               ct AS declared_trade_data, cm AS declared_market_data,
+               dt AS received_trade_data, dm AS received_market_data
+        FROM closed""",
+    "stream_completed_bounded": f"""
+        WITH {_DATA}, {_KNOWN}, {_EVENT_CONTROL}, {_SESSIONS}
+        SELECT {DAY_KEY}, concat('REQ-', user_id, ' Finished.') AS message FROM closed WHERE ct = dt""",
+    "stream_edges": f"""
+        WITH {_DATA}, {_DAILY},
+        done AS (SELECT user_id, day FROM states WHERE done),
+        horizon AS (SELECT max(day) AS last_day FROM states)
+        SELECT {USER_KEY}, CAST(day AS TIMESTAMP) AS snapshot_ts, 'rising' AS edge
+        FROM done WHERE NOT EXISTS (
+          SELECT 1 FROM done earlier WHERE earlier.user_id = done.user_id AND earlier.day = done.day - 1)
+        UNION ALL
+        SELECT {USER_KEY}, CAST(day + 1 AS TIMESTAMP), 'falling'
+        FROM done, horizon WHERE day < last_day AND NOT EXISTS (
+          SELECT 1 FROM done later WHERE later.user_id = done.user_id AND later.day = done.day + 1)""",
+    "stream_late": f"""
+        WITH {_DATA},
+        came AS (
+          SELECT *, least((day(ts) - 1) // 5 + CASE WHEN seq % 50 = 0 THEN 2 ELSE 0 END, 6) AS arrival FROM data),
+        newest AS (SELECT arrival, max(ts) AS ts FROM came GROUP BY arrival),
+        marks AS (
+          SELECT arrival, (SELECT epoch_us(date_trunc('milliseconds', max(n.ts) - INTERVAL 1 HOUR))
+                           FROM newest n WHERE n.arrival < newest.arrival) AS mark
+          FROM newest),
+        judged AS (SELECT came.*, mark - epoch_us(ts) AS behind FROM came JOIN marks USING (arrival))
+        SELECT {DAY_KEY}, concat('Trade-', seq) AS id, coalesce(behind >= 0, FALSE) AS late,
+               CASE WHEN behind >= 0 THEN behind END AS late_by_us
+        FROM judged""",
+    "running_counts_hot": f"""
+        WITH {_DATA}, {_HOT}
+        SELECT user_id, day, ts, seq, CAST(sum(t) OVER so_far AS BIGINT) AS running_trade_data,
+               CAST(sum(m) OVER so_far AS BIGINT) AS running_market_data
+        FROM hot WINDOW so_far AS (PARTITION BY user_id, day ORDER BY ts, seq ROWS UNBOUNDED PRECEDING)""",
+    "first_completion_hot": f"""
+        WITH {_DATA}, {_HOT},
+        feed AS (
+          SELECT user_id, day, ts, 1 AS kind, seq, t, m, NULL AS ct, NULL AS cm FROM hot
+          UNION ALL
+          SELECT user_id, day, ts, 0, seq, 0, 0, seq // 2, seq * 3 // 4 FROM hot WHERE seq % 100 = 0
+          UNION ALL
+          SELECT user_id, day, max(ts), 0, max(seq) + 1, 0, 0, sum(t), sum(m) FROM hot GROUP BY user_id, day),
+        prefix AS (
+          SELECT user_id, day, ts, kind, seq, sum(t) OVER so_far AS dt, sum(m) OVER so_far AS dm,
+                 last_value(ct IGNORE NULLS) OVER so_far AS ct, last_value(cm IGNORE NULLS) OVER so_far AS cm
+          FROM feed
+          WINDOW so_far AS (PARTITION BY user_id, day ORDER BY ts, kind, seq ROWS UNBOUNDED PRECEDING)),
+        ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY ts, kind, seq) AS rank
+          FROM prefix WHERE ct = dt AND cm = dm)
+        SELECT user_id, day, ts AS completed_at, CAST(dt AS BIGINT) AS received_trade_data,
+               CAST(dm AS BIGINT) AS received_market_data
+        FROM ranked WHERE rank = 1""",
     "data_messages": f"""
         SELECT concat('REQ-', l_orderkey) AS req_id, concat('FO-', l_orderkey) AS fo_id,
                CASE l_linestatus WHEN 'O' THEN 'TRADE_DATA' WHEN 'F' THEN 'MARKET_DATA'

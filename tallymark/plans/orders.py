@@ -123,6 +123,15 @@ def declared_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     return render_key(declared).drop("ts", "fo_name")
 
 
+def declared_or_fail(spark: SparkSession, folder: str) -> DataFrame:
+    """Complete announcements, read in a way that fails the query if one lacks a type."""
+    key = F.col("o_orderkey")
+    control = table(spark, folder, "orders").select(
+        key.alias("order_key"), S.build_statistics({TRADE: key % 7, MARKET: key % 5}).alias("statistics")
+    )
+    return render_key(counting.declared_counts(control, missing="fail"))
+
+
 def _revised_control(spark: SparkSession, folder: str) -> DataFrame:
     """Announcements that are revised: every third order a day later, every fifth at the
     same moment, told apart by the sequence number only."""
@@ -178,6 +187,11 @@ def latest_control_edge(spark: SparkSession, folder: str) -> DataFrame:
     return render_key(R.latest_declared(control, KEYS, missing="quarantine"))
 
 
+def latest_declared(spark: SparkSession, folder: str) -> DataFrame:
+    """Declared counts of the newest announcements, by time and sequence number."""
+    return render_key(R.latest_declared(_revised_control(spark, folder), KEYS, order_by=("ts", "seq")))
+
+
 def merge_control(spark: SparkSession, folder: str) -> DataFrame:
     """Base announcements merged with updates for half of the orders, the market entry
     of the result taken out and put back for none."""
@@ -229,7 +243,9 @@ def dedup_reconcile(spark: SparkSession, folder: str) -> DataFrame:
 def published_status(spark: SparkSession, folder: str) -> DataFrame:
     """Line items published as encoded topics with their true totals, read back and reconciled."""
     topics = new_table_path(spark, "delivery")
-    publish_delivery(render_key(data(spark, folder)), F.lit("fo-0"), "parquet", topics)
+    # Encoding is worth more than a shuffle: a table of few row groups would be encoded in as few tasks.
+    items = data(spark, folder).repartition(spark.sparkContext.defaultParallelism)
+    publish_delivery(render_key(items), F.lit("fo-0"), "parquet", topics)
     control_in, _ = codec.quarantine(read_control(spark, "parquet", f"{topics}/{M.CONTROL_TOPIC}", streaming=False))
     data_in, _ = codec.quarantine(read_data(spark, "parquet", f"{topics}/{M.DATA_TOPIC}", streaming=False))
     return R.reconcile(control_in, data_in)

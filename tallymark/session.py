@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -49,6 +49,33 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+# Paths given out by this driver process.
+_given: list[str] = []
+
+
 def new_table_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no earlier run has used."""
-    return f"{shared_folder(spark)}/tallymark/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tallymark/{name}-{uuid.uuid4().hex}"
+    _given.append(path)
+    return path
+
+
+def discard_tables(spark: SparkSession) -> int:
+    """Delete the intermediate tables that this driver process has written to the shared folder; how many.
+
+    Results are lazy and read such tables, so call it once they have been written or collected,
+    at the latest before the application ends.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    gone = 0
+    while _given:
+        path = hadoop.Path(_given.pop())
+        gone += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return gone
+
+
+def frozen(df: DataFrame, name: str) -> DataFrame:
+    """The frame written to the shared folder and read back: computed once, and safe from lost executors."""
+    path = new_table_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -29,6 +29,7 @@ NULL_STATISTICS = "NULL_STATISTICS"
 NULL_COUNT = "NULL_COUNT"
 COUNT_TOO_LARGE = "COUNT_TOO_LARGE"
 UNKNOWN_TYPE = "UNKNOWN_TYPE"
+MISSING_TYPE = "MISSING_TYPE"
 
 # Largest count the int32 of the binary wire format holds; JSON has no such limit.
 MAX_WIRE_COUNT = 2**31 - 1
@@ -147,6 +148,19 @@ def quarantine(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
+def incomplete_announcements(decoded: DataFrame, types: Sequence[str] = M.TYPES) -> DataFrame:
+    """Decoded control messages that lack a type, as rejected envelopes with the reason.
+
+    They are messages all the same: a request whose newest one lacks a type is in a state of
+    its own, so they stay among the good ones as well.
+    """
+    absent = F.filter(F.array(*[F.lit(t) for t in types]), lambda t: ~F.map_contains_key("statistics", t))
+    reason = F.concat(F.lit(f"{MISSING_TYPE}:"), F.array_join(absent, ","))
+    good = decoded.where(F.col("error").isNull())
+    lacking = good.where(F.size(absent) > 0).withColumn("error", reason)
+    return quarantine(lacking)[1]
+
+
 def encoding_error(kind: str, encoders: MessageCodec = JSON_ENCODERS, types: Sequence[str] = M.TYPES) -> Column:
     """Why a row is no message of the wire format, null if it is one."""
     if kind == CONTROL:

@@ -27,12 +27,13 @@ def _counted(feed: DataFrame, groups: Sequence, types: Sequence[str], seq: str |
     )
 
 
-def with_status(counted: DataFrame, keys: Sequence[str], types: Sequence[str]) -> DataFrame:
-    """Counted groups with the status their counts amount to."""
+def with_status(counted: DataFrame, keys: Sequence[str], types: Sequence[str], also: Sequence = ()) -> DataFrame:
+    """Counted groups with the status their counts amount to; ``also`` are columns to keep besides."""
     has_control = F.col("n_control") > 0
     has_data = F.col("n_data") > 0
     return counted.select(
         *keys,
+        *also,
         *[C.or_zero(F.col(M.declared_column(t))).alias(M.declared_column(t)) for t in types],
         *[M.received_column(t) for t in types],
         has_control.alias("has_control"),
@@ -97,7 +98,57 @@ def end_states(
     than COMPLETE means the request expired in that state. Spark sets the window to
     end ``ttl`` after the last message.
     """
+    return with_status(_sessions(control, data, ttl, keys, types, ts, seq, missing, delay), keys, types)
+
+
+def _sessions(control, data, ttl, keys, types, ts, seq, missing, delay) -> DataFrame:
     feed = delivery_feed(control, data, keys, types, ts, seq, missing).withWatermark("ts", delay)
     gap = f"{int(ttl / timedelta(milliseconds=1))} milliseconds"
-    sessions = _counted(feed, [*keys, F.session_window("ts", gap)], types, seq)
-    return with_status(sessions, keys, types)
+    return _counted(feed, [*keys, F.session_window("ts", gap)], types, seq)
+
+
+def expiry(
+    control: DataFrame,
+    data: DataFrame,
+    ttl: timedelta,
+    keys: Sequence[str] = M.KEYS,
+    types: Sequence[str] = M.TYPES,
+    ts: str = "ts",
+    seq: str | None = None,
+    missing: str = "zero",
+    delay: str = "5 seconds",
+) -> DataFrame:
+    """COMPLETE or EXPIRED for each request, told once it has been idle for ``ttl`` (append mode).
+
+    The two end states of ``stateful_reconcile`` without Python. Start it under
+    ``local_sessions``: a request's messages are then merged within each task before
+    the shuffle, so one that owns a third of the rows sends a few sessions a task.
+    """
+    ended = end_states(control, data, ttl, keys, types, ts, seq, missing, delay)
+    status = F.when(F.col("status") == C.COMPLETE, F.lit(C.COMPLETE)).otherwise(F.lit(C.EXPIRED))
+    return ended.withColumn("status", status)
+
+
+def completed_once(
+    control: DataFrame,
+    data: DataFrame,
+    ttl: timedelta,
+    keys: Sequence[str] = M.KEYS,
+    types: Sequence[str] = M.TYPES,
+    ts: str = "ts",
+    seq: str | None = None,
+    missing: str = "zero",
+    delay: str = "5 seconds",
+) -> DataFrame:
+    """Each completed request once, with both of its states dropped by the watermark (append mode).
+
+    Counts are those of a session, told and dropped once it has been idle for ``ttl``. A
+    request complete again in a session that ends within ``delay`` of the first is
+    not told again; what remembers it is dropped after that. ``completed_at`` is the
+    time of the last message. Two stateful steps in a row: start it under
+    ``local_sessions(spark, "hdfs")``.
+    """
+    sessions = _sessions(control, data, ttl, keys, types, ts, seq, missing, delay)
+    told = with_status(sessions, keys, types, also=[F.window_time("session_window").alias("_told")])
+    once = completed(told).dropDuplicatesWithinWatermark(list(keys))
+    return once.withColumnRenamed("last_ts", "completed_at").drop("_told")

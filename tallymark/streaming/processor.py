@@ -8,19 +8,22 @@ from pyspark.sql.streaming import StatefulProcessor
 
 COMPLETE = "COMPLETE"
 EXPIRED = "EXPIRED"
+BAD_CTRL = "BAD_CTRL"
 
 
 def combine_batches(batches, keys, declared, received):
     """Map-side combine of feed rows, one Arrow batch at a time.
 
-    Data rows of a request become one row with summed counts and the newest time;
-    of its control rows the newest stays.
+    Data rows of a request and tick become one row with summed counts and the newest time;
+    of its control rows of a tick the newest stays. Whether a row is late is decided by
+    its tick, so it does not matter which rows it shares an Arrow batch with.
     """
+    groups = [*keys, "tick"]
     for batch in batches:
         is_control = batch["is_control"].to_numpy(dtype=bool)
         records = batch[~is_control]
         if len(records):
-            summed = records.groupby(keys, sort=False, as_index=False, dropna=False).agg(
+            summed = records.groupby(groups, sort=False, as_index=False, dropna=False).agg(
                 {"us": "max", "seq": "max", **{name: "sum" for name in received}}
             )
             summed["is_control"] = False
@@ -29,7 +32,7 @@ def combine_batches(batches, keys, declared, received):
             yield summed[batch.columns]
         controls = batch[is_control]
         if len(controls):
-            yield controls.sort_values(["us", "seq"]).drop_duplicates(keys, keep="last")[batch.columns]
+            yield controls.sort_values(["us", "seq"]).drop_duplicates(groups, keep="last")[batch.columns]
 
 
 class Delivery:
@@ -64,6 +67,10 @@ class Delivery:
     def complete(self):
         return not self.done and self.declared == self.received
 
+    def unnamed(self):
+        """Whether the current control message lacks a type (its count is null): never complete."""
+        return self.declared is not None and None in self.declared
+
 
 class DeliveryProcessor(StatefulProcessor):
     """Holds one request's newest declaration and received counts until complete or idle too long.
@@ -89,7 +96,7 @@ class DeliveryProcessor(StatefulProcessor):
         )
 
     def _row(self, key, status, delivery, at_us):
-        declared = delivery.declared or [0] * len(self.declared)
+        declared = [count or 0 for count in delivery.declared or [0] * len(self.declared)]
         return Row(*self.output)(*key, status, *declared, *delivery.received, at_us)
 
     def _announce(self, key, delivery, at_us):
@@ -138,7 +145,8 @@ class DeliveryProcessor(StatefulProcessor):
 
     def _expire(self, key, delivery):
         if not delivery.done:
-            yield self._row(key, EXPIRED, delivery, delivery.timer_ms * 1000)
+            status = BAD_CTRL if delivery.unnamed() else EXPIRED
+            yield self._row(key, status, delivery, delivery.timer_ms * 1000)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         delivery = Delivery(len(self.declared), self.state.get())

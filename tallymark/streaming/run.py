@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions import messages as M
 from ..operators.reconcile import completed, notifications
 from ..sources.writers import write_console
-from .aggregate import aggregate_completed, aggregate_reconcile
+from .aggregate import aggregate_completed, aggregate_reconcile, completed_once
 from .stateful import stateful_reconcile
 
 _PROVIDER_SETTING = "spark.sql.streaming.stateStore.providerClass"
@@ -27,14 +27,30 @@ PROVIDERS = {
 }
 
 
-@contextmanager
-def state_store(spark: SparkSession, provider: str) -> Iterator[None]:
+# Merges the sessions of a request within each task before they are shuffled.
+LOCAL_SESSIONS = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
+
+
+def state_store(spark: SparkSession, provider: str):
     """Queries started inside use the provider; the session's own settings come back after.
 
     A query reads the settings once, when it starts, and keeps the provider in its checkpoint.
     """
-    before = {name: spark.conf.get(name, None) for name in PROVIDERS[provider]}
-    for name, value in PROVIDERS[provider].items():
+    return _settings(spark, PROVIDERS[provider])
+
+
+def local_sessions(spark: SparkSession, provider: str = "rocksdb"):
+    """As ``state_store``, for queries with session windows: sessions are merged before the shuffle too.
+
+    Queries of two stateful steps in a row need the provider "hdfs".
+    """
+    return _settings(spark, {**PROVIDERS[provider], **LOCAL_SESSIONS})
+
+
+@contextmanager
+def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
         spark.conf.set(name, value)
     try:
         yield
@@ -116,17 +132,25 @@ def start_notifier(
     every: str | None = "1 second",
     rows: int = 10,
     output: str | None = None,
+    engine: str = "state",
     **settings,
 ) -> StreamingQuery:
     """The whole consumer: reconcile two streams and give a notice per completed request.
 
+    ``engine="state"`` tells of a completion at once, with a Python step per changed request;
+    ``"sessions"`` tells of it once the request has been idle for ``ttl``, in the JVM alone.
     With ``output`` every notice is written to the table there (see ``start_table``);
     without it the first ``rows`` of each micro-batch are printed and the others are not
     kept anywhere.
     """
     spark = control.sparkSession
-    with state_store(spark, "rocksdb"):
-        changes = stateful_reconcile(control, data, ttl=ttl, **settings)
+    if engine not in ("state", "sessions"):
+        raise ValueError(f"engine must be state or sessions, not {engine!r}")
+    if engine == "sessions" and ttl is None:
+        raise ValueError("sessions end after an idle time: give a ttl")
+    with state_store(spark, "rocksdb") if engine == "state" else local_sessions(spark, "hdfs"):
+        reconcile = stateful_reconcile if engine == "state" else completed_once
+        changes = reconcile(control, data, ttl=ttl, **settings)
         notices = notifications(completed(changes), settings.get("keys", M.KEYS))
         if output:
             return start_table(notices, output, checkpoint, every=every)

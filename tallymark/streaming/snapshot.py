@@ -62,8 +62,41 @@ def delivery_snapshot(
     of them under one name, so they are named here by position.
     """
     stored = state_snapshot(spark, checkpoint, batch_id=batch_id)
+    return with_status(stored.toDF(*keys, *_buffers(types)), keys, types)
+
+
+def _buffers(types: Sequence[str]) -> list[str]:
+    """Names of the fields that an ``aggregate_reconcile`` query keeps of a request, in order."""
     declared = [M.declared_column(t) for t in types]
-    received = [M.received_column(t) for t in types]
     newest = [name for d in declared for name in (d, f"_when_{d}")]
-    named = stored.toDF(*keys, *newest, *received, "n_control", "n_data", "last_ts")
-    return with_status(named, keys, types)
+    return [*newest, *[M.received_column(t) for t in types], "n_control", "n_data", "last_ts"]
+
+
+def delivery_history(
+    spark: SparkSession,
+    checkpoint: str,
+    keys: Sequence[str] = M.KEYS,
+    types: Sequence[str] = M.TYPES,
+    first_batch: int = 0,
+    last_batch: int | None = None,
+) -> DataFrame:
+    """How every request stood after each micro-batch that touched it, from the state's change feed.
+
+    One row per request and ``batch_id``, with the columns that an ``aggregate_reconcile``
+    query emits: a series of snapshots of which each holds only what changed. The
+    checkpoint must still have the changes of ``first_batch`` and those after it; by
+    default Spark keeps those of the last 100 micro-batches.
+    """
+    spark.streams  # see state_snapshot
+    reader = (
+        spark.read.format("statestore")
+        .option("operatorId", 0)
+        .option("readChangeFeed", "true")
+        .option("changeStartBatchId", first_batch)
+    )
+    if last_batch is not None:
+        reader = reader.option("changeEndBatchId", last_batch)
+    changes = reader.load(checkpoint).where(F.col("change_type") == "update")
+    value = F.col("value").cast(_unique_names(changes.schema["value"].dataType))
+    named = changes.select("batch_id", "key", value.alias("value")).select("batch_id", "key.*", "value.*")
+    return with_status(named.toDF("batch_id", *keys, *_buffers(types)), keys, types, also=["batch_id"])

@@ -28,9 +28,13 @@ def stateful_reconcile(
     delay: str = "5 seconds",
     per_message: bool = False,
     reset_on_complete: bool = False,
+    tick: timedelta = timedelta(seconds=1),
 ) -> DataFrame:
     """COMPLETE once per request, and EXPIRED for one idle for ``ttl`` of event time (append mode).
 
+    With ``missing="quarantine"`` a request whose newest control message lacks a type is not
+    complete, and BAD_CTRL instead of EXPIRED.
+
     By default counts are combined map-side before the shuffle and a request is looked
     at once per micro-batch, so a request that owns a third of the rows sends each task's
     partial counts and nothing more. ``per_message`` looks after every message instead;
@@ -40,15 +44,19 @@ def stateful_reconcile(
 
     With ``ttl`` the state of a request goes away once it is idle that long, whether
     it was announced or not; rows later than ``delay`` behind the newest one are late
-    and dropped by the watermark. Without ``ttl`` state is kept for good. Start it under
-    ``state_store("rocksdb")``.
+    and dropped by the watermark. Lateness is that of the ``tick`` a row's time lies in, by
+    the tick's beginning: rows of one tick may be combined, and however they are, in whatever
+    Arrow batches or message by message, the same ones are late. Without ``ttl`` state is
+    kept for good. Start it under ``state_store("rocksdb")``.
     """
     declared = [M.declared_column(t) for t in types]
     received = [M.received_column(t) for t in types]
     # Times travel as numbers: pandas timestamps would pass through the session's time zone.
     # A row without a time is as old as the epoch: late under a watermark, else before all others.
     us = F.coalesce(F.unix_micros("ts"), F.lit(0).cast("bigint"))
+    tick_us = int(tick / timedelta(microseconds=1))
     feed = delivery_feed(control, data, keys, types, ts, seq, missing).withColumn("us", us).drop("ts")
+    feed = feed.withColumn("tick", F.floor(F.col("us") / tick_us) * tick_us)
     key_names = list(keys)
     if not per_message:
 
@@ -57,7 +65,7 @@ def stateful_reconcile(
 
         feed = feed.mapInPandas(combine, feed.schema)
     if ttl is not None:
-        feed = feed.withColumn("ts", F.timestamp_micros("us")).withWatermark("ts", delay)
+        feed = feed.withColumn("ts", F.timestamp_micros("tick")).withWatermark("ts", delay)
     ttl_ms = None if ttl is None else int(ttl / timedelta(milliseconds=1))
     key_types = {field.name: field.dataType.simpleString() for field in feed.schema if field.name in key_names}
     output = ", ".join(

@@ -14,49 +14,88 @@ def rows(df):
     return sorted(tuple(str(v) for v in row) for row in df.select(*sorted(df.columns)).collect())
 
 
-def skewed(spark, kind):
-    """Six thousand records, a third or more of them of request 0."""
-    base = spark.range(6000).select(F.col("id").alias("seq"))
+def skewed(spark, kind, count=6000):
+    """Records of which a third or more are of request 0."""
+    base = spark.range(count).select(F.col("id").alias("seq"))
     hot = F.col("seq") % 3 != 1
     moment = {
-        "spread": F.col("seq") * 7 % 6000,
+        "spread": F.col("seq") * 7 % count,
         "burst": F.when(hot, F.lit(17)).otherwise(F.col("seq")),
         "mixed": F.when(F.col("seq") % 2 == 0, F.lit(17)).otherwise(F.col("seq") % 40),
+        "timeless": F.when(F.col("seq") % 4 > 0, F.col("seq") % 40),
     }[kind]
     types = F.when(F.col("seq") % 5 == 0, F.lit("TRADE_DATA")).otherwise(F.lit("MARKET_DATA"))
     return base.select(
         F.when(hot, F.lit("REQ-0")).otherwise(F.concat(F.lit("REQ-"), F.col("seq") % 50)).alias("req_id"),
-        F.lit("FO-0").alias("fo_id"),
+        F.when(~hot, F.lit("FO-0")).alias("fo_id"),
         types.alias("type"),
         F.timestamp_seconds(moment).cast("timestamp_ntz").alias("ts"),
         "seq",
     )
 
 
-@pytest.mark.parametrize("kind", ["spread", "burst", "mixed"])
+KINDS = ["spread", "burst", "mixed", "timeless"]
+
+
+@pytest.mark.parametrize("kind", KINDS)
 def test_running_counts_equal_plain_window(spark, kind):
     data = skewed(spark, kind)
     plain = H.running_counts(data, hot_rows=None)
     assert rows(H.running_counts(data, hot_rows=200)) == rows(plain)
 
 
-@pytest.mark.parametrize("kind", ["spread", "burst", "mixed"])
-def test_hot_timeline_is_spread_over_tiles(spark, kind):
-    tiled = hotkeys.split_hot_keys(skewed(spark, kind), M.KEYS, "ts", "seq", hot_rows=200)
-    assert tiled.hot is not None and tiled.hot.count() == 1
-    largest = tiled.rows.groupBy(*M.KEYS, hotkeys.TILE).count().agg(F.max("count")).first()[0]
-    assert largest <= 400
+def test_running_counts_through_several_levels_of_blocks(spark, monkeypatch):
+    monkeypatch.setattr(hotkeys, "FAN", 3)
+    monkeypatch.setattr(hotkeys, "BROADCAST_ROWS", 0)
+    data = skewed(spark, "mixed")
+    found = H.running_counts(data, hot_rows=120)
+    assert rows(found) == rows(H.running_counts(data, hot_rows=None))
+
+
+def test_text_orders_a_timeline_as_well(spark):
+    data = skewed(spark, "spread").withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    assert rows(H.running_counts(data, hot_rows=200)) == rows(H.running_counts(data, hot_rows=None))
+
+
+@pytest.mark.parametrize("count", [6000, 60_000])
+@pytest.mark.parametrize("kind", KINDS)
+def test_tiles_do_not_grow_with_the_rows(spark, kind, count):
+    split = hotkeys.split_hot_keys(skewed(spark, kind, count), M.KEYS, ("ts", "seq"), hot_rows=500)
+    largest = split.hot.groupBy(hotkeys.TILE).count().agg(F.max("count")).first()[0]
+    assert largest < 1000
+    assert split.hot.count() + split.plain.count() == count
+
+
+def test_thousands_of_hot_requests(spark):
+    data = spark.range(90_000).select(
+        (F.col("id") % 3000).alias("req_id"), F.lit(None).cast("string").alias("fo_id"), F.lit("TRADE_DATA").alias("type"),
+        F.col("id").alias("seq"), F.lit(1).alias("ts"),
+    )
+    split = hotkeys.split_hot_keys(data, M.KEYS, ("ts", "seq"), hot_rows=20)
+    assert split.plain.count() == 0 and split.tiles == 4500
+    found = H.running_counts(data, hot_rows=20)
+    assert found.where("running_trade_data <> seq DIV 3000 + 1").count() == 0
+    assert found.count() == 90_000
 
 
 def test_tiles_follow_the_order(spark):
-    tiled = hotkeys.split_hot_keys(skewed(spark, "mixed"), M.KEYS, "ts", "seq", hot_rows=200)
-    ordered = tiled.rows.where("req_id = 'REQ-0'").orderBy("ts", "seq").select(hotkeys.TILE).collect()
+    split = hotkeys.split_hot_keys(skewed(spark, "mixed"), M.KEYS, ("ts", "seq"), hot_rows=200)
+    ordered = split.hot.where("req_id = 'REQ-0'").orderBy("ts", "seq").select(hotkeys.TILE).collect()
     tiles = [row[0] for row in ordered]
     assert tiles == sorted(tiles) and len(set(tiles)) > 10
 
 
 def test_nothing_is_cut_below_the_limit(spark):
-    assert hotkeys.split_hot_keys(skewed(spark, "spread"), M.KEYS, "ts", "seq").hot is None
+    assert hotkeys.split_hot_keys(skewed(spark, "spread"), M.KEYS, ("ts", "seq")).hot is None
+
+
+def test_no_window_spans_a_hot_timeline(spark):
+    """Windows over hot rows are by tile, and those over totals by block of tiles."""
+    data = skewed(spark, "spread")
+    plan = H.running_counts(data, hot_rows=200)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Window")]
+    assert len(windows) == 3
+    assert sum(hotkeys.TILE in line for line in windows) == 2
 
 
 def test_first_completion_equals_plain(spark, sf_dir):
@@ -69,8 +108,10 @@ def test_first_completion_equals_plain(spark, sf_dir):
 
 
 @pytest.mark.parametrize("kind", ["spread", "burst"])
-def test_first_completion_with_revisions_in_a_hot_timeline(spark, kind):
+@pytest.mark.parametrize("fan", [3, hotkeys.FAN])
+def test_first_completion_with_revisions_in_a_hot_timeline(spark, kind, fan, monkeypatch):
     """Announcements arrive all along the timeline; the current one must be carried over cuts."""
+    monkeypatch.setattr(hotkeys, "FAN", fan)
     data = skewed(spark, kind)
     control = data.where("seq % 97 = 0").select(
         *M.KEYS, "ts", "seq", F.create_map(

@@ -5,15 +5,16 @@ from __future__ import annotations
 import __spark_entry__ as contract
 import pytest
 from frames import control_frame, data_frame
-from pyspark.sql import functions as F
+from pyspark.sql import Column, functions as F
 
 from tallymark.operators import counting, reconcile as R
 from tallymark.plans import orders
 from tallymark.streaming.feed import delivery_feed
 
 # These run jobs of their own before they return a frame.
-STREAMS = {"stream_reconcile", "stream_completed", "stream_expiry", "stream_end_states", "state_snapshot", "published_status"}
-BATCH = sorted(set(contract.queries()) - STREAMS)
+STREAMS = {"state_snapshot", "state_history", "published_status", "published_repeatedly", "consumed_notices"}
+STREAMS |= {name for name in contract.queries() if name.startswith("stream_")}
+BATCH = sorted(set(contract.queries()) - set(contract.TEXT_QUERIES) - STREAMS)
 
 
 @pytest.fixture
@@ -75,6 +76,33 @@ def test_latest_control_is_an_aggregate(spark, at_scale):
     assert "Window" not in plan and "partial_max_by" in plan
 
 
+def test_newest_declaration_by_time_and_number_is_a_hash_aggregate(spark, small_dir, at_scale):
+    plan = plan_of(orders.latest_declared(spark, small_dir))
+    assert "SortAggregate" not in plan and "partial_max_by" in plan
+    control, data = control_frame(spark, [(0, 1, 0, 0)]), data_frame(spark, [(0, "T", 1)])
+    assert "SortAggregate" not in plan_of(R.reconcile(control, data, order_by=("ts", "seq")))
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
+def test_packed_order_is_the_order_of_time_and_number(spark, kind):
+    times = [None, "0001-01-01", "1969-12-31 23:59:59.999999", "1970-01-01", "2024-03-31 02:30:00.000001", "2024-10-27 02:30:00", "9999-12-31"]
+    numbers = [None, -(2**63), -1, 0, 5, 2**63 - 1]
+    rows = [(t, n, i * 10 + k) for i, t in enumerate(times) for k, n in enumerate(numbers)]
+    df = spark.createDataFrame(rows, "t string, n bigint, place int").withColumn("t", F.col("t").cast(kind))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        for first in (True, False):
+            packed = R.ordering(df, ("t", "n"), unknown_first=first)
+            nulls = Column.asc_nulls_first if first else Column.asc_nulls_last
+            want = df.orderBy(nulls(F.col("t")), nulls(F.col("n"))).select("place").collect()
+            assert df.orderBy(packed).select("place").collect() == want
+        distinct = df.select("t", "n").distinct().count()
+        assert df.select(R.ordering(df, ("t", "n"))).distinct().count() == distinct
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_dedup_drops_unused_columns_before_the_shuffle(spark, at_scale):
     data = data_frame(spark, [(0, "T", 1)])
     plan = plan_of(counting.type_counts(R.dedup_data(data)))

@@ -194,10 +194,14 @@ def test_combining_keeps_counts_and_newest_control(rows):
                 **dict(zip(DECLARED, counts if kind == "C" else (None, None))),
                 **dict(zip(RECEIVED, (int(kind == "T"), int(kind == "M")))),
                 "us": ts * 1_000_000,
+                "tick": 0,
             }
             for i, (n, kind, counts, ts) in enumerate(rows)
         ]
     ).astype({name: "Int64" for name in DECLARED})
+    ticks = batch.assign(tick=batch["us"])
+    by_tick = pd.concat(processor.combine_batches([ticks], ["req_id", "fo_id"], DECLARED, RECEIVED))
+    assert (by_tick["us"] == by_tick["tick"]).all() and set(by_tick["tick"]) == set(ticks["tick"])
     out = pd.concat(processor.combine_batches([batch], ["req_id", "fo_id"], DECLARED, RECEIVED))
     assert list(out.columns) == list(batch.columns)
     assert len(out) <= 2 * batch["req_id"].nunique()

@@ -44,6 +44,18 @@ def test_paths_are_never_shared_between_runs():
     assert len(paths) == 10 and all(path.startswith("/shared/tallymark/x-") for path in paths)
 
 
+def test_intermediate_tables_can_be_discarded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "_given", [])
+    monkeypatch.setattr(session, "shared_folder", lambda _: f"file://{tmp_path}")
+    kept = tmp_path / "tallymark" / "other"
+    kept.mkdir(parents=True)
+    frames = [session.frozen(spark.range(3), "a"), session.frozen(spark.range(4), "b")]
+    session.new_table_path(spark, "never written")
+    assert [f.count() for f in frames] == [3, 4]
+    assert session.discard_tables(spark) == 2 and session.discard_tables(spark) == 0
+    assert list((tmp_path / "tallymark").iterdir()) == [kept]
+
+
 def test_settings_reach_the_session(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
