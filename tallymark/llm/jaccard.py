@@ -56,6 +56,8 @@ BITMAP_BITS = 24
 SKETCH_BITS = 1024
 # Members compared in one task: of a list's smaller components, and of the whole list.
 TILE, BLOCK = 512, 16_384
+# Shingles a worker counts before it passes them on.
+HELD_SHINGLES = 2_000_000
 # Sketches compared at once.
 CHUNK = 512
 # How many times more pairs a component proposes from round to round.
@@ -103,14 +105,18 @@ def _bounded(df: DataFrame, rows: int) -> DataFrame:
 
 
 def _packed(values: np.ndarray) -> bytes:
-    """Sorted numbers as compressed differences, bytes of equal weight side by side."""
-    steps = np.diff(values, prepend=np.uint64(0)).astype("<u8")
-    return zlib.compress(steps.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+    """Sorted numbers as differences, in four bytes each where they fit."""
+    steps = np.diff(values, prepend=np.uint64(0))
+    if not len(steps) or steps[1:].max(initial=0) >> np.uint64(32):
+        return b"8" + steps.astype("<u8").tobytes()
+    return b"4" + values[:1].astype("<u8").tobytes() + steps[1:].astype("<u4").tobytes()
 
 
 def _unpacked(blob: bytes) -> np.ndarray:
-    raw = np.frombuffer(zlib.decompress(blob), dtype=np.uint8)
-    return np.cumsum(np.ascontiguousarray(raw.reshape(8, -1).T).view("<u8").ravel(), dtype=np.uint64)
+    if blob[:1] == b"8":
+        return np.cumsum(np.frombuffer(blob, dtype="<u8", offset=1), dtype=np.uint64)
+    steps = np.frombuffer(blob, dtype="<u4", offset=9)
+    return np.cumsum(np.concatenate([np.frombuffer(blob, dtype="<u8", count=1, offset=1), steps]), dtype=np.uint64)
 
 
 _SETS = ("doc_id", "fp", "n_shingles", "sid", "sketch")
@@ -149,7 +155,7 @@ def _sets_and_counts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
                     size += len(own)
                 else:
                     sets.append((0, None, None))
-                if size >= 6_000_000:
+                if size >= HELD_SHINGLES:
                     yield counted(held)
                     held, size = [], 0
             out = dict(zip(("n_shingles", "sid", "sketch"), zip(*sets) if sets else ((), (), ())))

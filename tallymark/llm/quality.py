@@ -6,13 +6,14 @@ of the three before it. Counts are divided by their number, so length does not m
 Training follows the regularised leader example by example in a fixed number of shards,
 whose weights are averaged; scoring is one sparse dot product per text.
 
-The labelled sample is bounded by ``sample_rows`` (in expectation: rows are taken by a
-hash of their id below a share). Weights have a fixed number of slots, so what is
+The labelled sample is bounded by ``sample_rows`` (in expectation: labelled rows are taken by a
+hash of id, text and label below a share). Weights have a fixed number of slots, so what is
 broadcast does not grow with the data. Labels, language, source and id never enter a score.
 
 Defined results: a null or empty text scores by the bias alone; labels that are null, or
-belong to no document, are not learnt from; repeated label rows count repeatedly; with no
-usable label every score is 0.5; an empty table gives an empty result.
+belong to no document, are not learnt from, nor are rows without an id; rows that repeat id,
+text and label count once; a null id is not held out; very long texts are read whole; with
+no usable label every score is 0.5; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import CACHE_WORDS, map_rows, worker_cache
+from .common import CACHE_WORDS, durable, map_rows, worker_cache
 
 BITS = 18
 SLOTS = 1 << BITS
@@ -126,8 +127,37 @@ class Ftrl:
 
 
 def fold(key: Column) -> Column:
-    """crc32 of the id as text, modulo 4; fold 2 is held out from learning."""
-    return F.crc32(key.cast("string").cast("binary")) % 4
+    """crc32 of the id as text (null: empty), modulo 4; fold 2 is held out from learning."""
+    return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 4
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, key: str, text: str, sample_rows: int) -> DataFrame:
+    """The rows to learn from, about ``sample_rows`` or all there are: _order, _shard, _label, _text."""
+    usable = (
+        labels.select(F.col(key).alias("_id"), F.col(label).cast("int").alias("_label"))
+        .where(F.col("_id").isNotNull() & F.col("_label").isin(0, 1) & (fold(F.col("_id")) != 2))
+        .distinct()
+    )
+    # Who is labelled, by fingerprint: without texts until it is known which rows are taken.
+    labelled = durable(
+        docs.select(F.col(key).alias("_id"), F.xxhash64(text).alias("_fp")).join(usable, "_id").distinct(), "labelled"
+    )
+    share = min(1.0, sample_rows / max(1, labelled.count()))
+    order = F.pmod(F.xxhash64("_id", "_fp", "_label"), F.lit(1_000_000))
+    # About sample_rows rows of three numbers: small enough to broadcast by that bound.
+    sample = labelled.where(order < int(share * 1_000_000))
+    return (
+        docs.select(F.col(key).alias("_id"), F.xxhash64(text).alias("_fp"), F.col(text).alias("_text"))
+        .join(F.broadcast(sample), ["_id", "_fp"])
+        .groupBy("_id", "_fp", "_label")
+        .agg(F.first("_text").alias("_text"))
+        .select(
+            F.xxhash64("_id", "_fp", F.lit(7)).alias("_order"),
+            F.pmod(F.xxhash64("_id", "_fp"), F.lit(SHARDS)).alias("_shard"),
+            "_label",
+            "_text",
+        )
+    )
 
 
 def train(
@@ -139,21 +169,7 @@ def train(
     sample_rows: int = SAMPLE_ROWS,
 ) -> np.ndarray:
     """Weights learnt from a bounded sample of the labelled rows outside the held-out fold."""
-    usable = labels.select(F.col(key).alias("_id"), F.col(label).cast("int").alias("_label")).where(
-        F.col("_id").isNotNull() & F.col("_label").isin(0, 1) & (fold(F.col("_id")) != 2)
-    )
-    order = F.xxhash64("_id") % 1_000_000
-    total = usable.count()
-    if not total:
-        return np.zeros(SLOTS)
-    share = min(1.0, sample_rows / total)
-    sample = usable.where(F.abs(order) < int(share * 1_000_000))
-    # At most about sample_rows ids: small enough to broadcast by that bound.
-    rows = (
-        docs.select(F.col(key).alias("_id"), F.col(text).alias("_text"))
-        .join(F.broadcast(sample), "_id")
-        .select(F.xxhash64("_id", F.lit(7)).alias("_order"), F.pmod(F.xxhash64("_id"), F.lit(SHARDS)).alias("_shard"), "_label", "_text")
-    )
+    rows = training_rows(docs, labels, label, key, text, sample_rows)
 
     def shard(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["_order", "_label", "_text"])
