@@ -9,31 +9,40 @@ from tallymark.llm.common import durable, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the classifier, trained on the labels of these documents, does not reject."""
+    """Rows that the classifier, trained on the labels of these documents, does not reject.
+
+    Null and empty texts score by the bias alone; ids play no part but in the choice of the sample, so
+    rows without one are scored too; repeated rows stay or go together; texts of any length are scored whole.
+    """
     weights = quality.train(docs, table(spark, sf_dir, "labels"))
     return quality.keep_good(docs, weights)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that share shingles as the Jaccard join asks, directly or through others, the smallest id."""
+    """Of documents that share shingles as the Jaccard join asks, directly or through others, the smallest id.
+
+    Null and blank texts link with nothing and stay; a row without an id stays where no linked row has
+    one; rows that repeat id and text stay or go together; texts of any length are compared whole.
+    """
     return jaccard.one_of_each(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that hold no benchmark item; a row without an id holds nothing that could be reported, and stays."""
-    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    leaks = durable(found.select(F.col("doc_id").alias("_leak")).distinct(), "leaks")
-    return docs.join(leaks, docs["doc_id"] == leaks["_leak"], "left_anti")
+    """Rows whose text holds no benchmark item, whatever their ids; null and empty texts hold none and stay.
+
+    Repeated rows stay or go together, very long texts are searched whole, other columns pass through.
+    """
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows, personal data in their texts replaced by its kind."""
+    """All rows, personal data in their texts replaced by its kind; null stays null, whatever the id or length."""
     cleaned = pii.redacted(docs)
     return cleaned.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else cleaned
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Per row: number of tokens, digest of the ids, digest of the text decoded from them."""
+    """Per row: number of tokens, digest of the ids, digest of the text decoded from them; null counts as empty."""
     return byte_bpe.encoding_digests(docs)
 
 
