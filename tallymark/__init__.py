@@ -34,13 +34,16 @@ from .operators.reconcile import (
     reconcile_counts,
     status_summary,
 )
-from .session import build_session
+from .session import build_session, discard_tables
 from .sources.codec import decode_messages, encode_messages, quarantine
 from .sources.readers import read_control, read_data
 from .sources.writers import write_console, write_messages
-from .streaming.aggregate import end_states
+from .streaming.aggregate import completed_once, end_states, expiry
+from .streaming.edges import stream_edges
+from .streaming.late import read_judged, start_late_table
 from .streaming.run import (
     latest_state,
+    local_sessions,
     read_changes,
     start_notifier,
     start_table,
@@ -48,11 +51,12 @@ from .streaming.run import (
     stream_completed,
     stream_reconcile,
 )
-from .streaming.snapshot import delivery_snapshot, state_snapshot
+from .streaming.snapshot import delivery_history, delivery_snapshot, state_snapshot
 
 __all__ = [
     "build_session",
     "completed",
+    "completed_once",
     "completion_delta",
     "control_profile",
     "control_totals",
@@ -61,14 +65,18 @@ __all__ = [
     "declared_counts",
     "decode_messages",
     "dedup_data",
+    "delivery_history",
     "delivery_snapshot",
     "describe_counts",
+    "discard_tables",
     "encode_messages",
     "end_states",
+    "expiry",
     "explode_statistics",
     "first_completion",
     "latest_control",
     "latest_state",
+    "local_sessions",
     "merge_control",
     "newly_completed",
     "notifications",
@@ -76,9 +84,11 @@ __all__ = [
     "read_changes",
     "read_control",
     "read_data",
+    "read_judged",
     "reconcile",
     "reconcile_counts",
     "running_counts",
+    "start_late_table",
     "start_notifier",
     "start_table",
     "state_changes",
@@ -86,6 +96,7 @@ __all__ = [
     "state_store",
     "status_summary",
     "stream_completed",
+    "stream_edges",
     "stream_reconcile",
     "to_data_messages",
     "type_counts",
