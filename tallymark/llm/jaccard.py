@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from heapq import nlargest
 
 import numpy as np
@@ -41,7 +42,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import WordHashes, durable, gram_hashes, map_rows, worker_cache
+from .common import durable, gram_hashes, map_rows, mixed
 from .components import components
 from .divide_skip import divide_skip
 
@@ -67,14 +68,74 @@ BROADCAST_ROWS = 500_000
 
 
 
+# A word's hash is a polynomial in its bytes, so that all words of a text come from one running sum.
+_BASE = 0x9E3779B97F4A7C15
+# Bytes summed up at once, unless a single word is longer.
+PIECE = 1 << 17
+_LOWER = np.array([b + 32 if ord("A") <= b <= ord("Z") else b for b in range(256)], dtype=np.uint8)
+_BLANK = np.zeros(256, dtype=bool)
+_BLANK[[0x20, *range(0x09, 0x0E)]] = True
+
+
+@lru_cache(maxsize=2)
+def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base, and of its inverse among numbers of 64 bits."""
+    return tuple(
+        np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(count, x, dtype=np.uint64)]))
+        for x in (_BASE, pow(_BASE, -1, 1 << 64))
+    )
+
+
+def _hashed_words(content: np.ndarray) -> np.ndarray:
+    """The hash of every word of a piece of text, in order."""
+    blank = np.ones(len(content) + 2, dtype=bool)
+    blank[1:-1] = _BLANK[content]
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    powers, inverse = _powers(max(PIECE, len(content)))
+    total = np.zeros(len(content) + 1, dtype=np.uint64)
+    np.cumsum((content + np.uint64(1)) * powers[: len(content)], out=total[1:])
+    lengths = (ends - starts).astype(np.uint64)
+    return mixed((total[ends] - total[starts]) * inverse[starts] + lengths * np.uint64(0xC2B2AE3D27D4EB4F))
+
+
+def word_hashes(content: np.ndarray) -> np.ndarray:
+    """The hash of every word of a text; a long text is summed up in pieces, cut at blanks."""
+    if len(content) <= PIECE:
+        return _hashed_words(content)
+    blanks = np.flatnonzero(_BLANK[content])
+    found, at = [], 0
+    while at < len(content):
+        end = len(content)
+        if end - at > PIECE:
+            before = np.searchsorted(blanks, at + PIECE)
+            if before and blanks[before - 1] > at:
+                end = int(blanks[before - 1])
+            elif before < len(blanks):
+                end = int(blanks[before])
+        found.append(_hashed_words(content[at:end]))
+        at = end
+    return np.concatenate(found)
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct numbers, sorted."""
+    values = np.sort(values)
+    new = np.ones(len(values), dtype=bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    return values[new]
+
+
 def shingles(text: str | None) -> np.ndarray:
     """The distinct shingle hashes of a text, sorted."""
-    words = text.encode().lower().split() if text else []
-    if not words:
+    content = _LOWER[np.frombuffer((text or "").encode(), dtype=np.uint8)]
+    hashes = word_hashes(content)
+    if not len(hashes):
         return np.empty(0, dtype=np.uint64)
-    if len(words) < WORDS:
+    if len(hashes) < WORDS:
+        words = content.tobytes().split()
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=len(words))], dtype=np.uint64)
-    return np.unique(gram_hashes(worker_cache("words", WordHashes).of(words), WORDS))
+    return distinct(gram_hashes(hashes, WORDS))
 
 
 def sketch(own: np.ndarray) -> bytes:
@@ -194,10 +255,14 @@ def common_shingles(packed: DataFrame, ranges: int) -> np.ndarray:
             values += [_unpacked(b) for b in batch.column(1).to_pylist()]
             counts += [np.frombuffer(zlib.decompress(b), dtype="<u4") for b in batch.column(2).to_pylist()]
         if values:
-            merged, place = np.unique(np.concatenate(values), return_inverse=True)
-            total = np.bincount(place, weights=np.concatenate(counts))
+            # Shingles have 48 bits; a count takes the other 16, sums may be larger.
+            small = np.minimum(np.concatenate(counts), 0xFFFF).astype(np.uint64)
+            rows = np.sort(np.concatenate(values) << np.uint64(16) | small)
+            held = rows >> np.uint64(16)
+            starts = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]]))
+            total = np.add.reduceat((rows & np.uint64(0xFFFF)).astype(np.int64), starts)
             often = total > COMMON
-            places = (merged[often] >> np.uint64(48 - BITMAP_BITS)).astype(np.int64)
+            places = (held[starts][often] >> np.uint64(48 - BITMAP_BITS)).astype(np.int64)
             level = np.log2(total[often] / COMMON).astype(np.int32)
             yield pa.RecordBatch.from_pydict(
                 {"place": places, "level": level},

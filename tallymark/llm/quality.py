@@ -19,7 +19,6 @@ no usable label every score is 0.5; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd

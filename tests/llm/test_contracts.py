@@ -12,10 +12,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallymark.llm import decontaminate, pii, quality, rules, substrings, warc
+from tallymark.llm import decontaminate, jaccard, pii, quality, rules, substrings, warc
 from tallymark.llm.common import table
 from tallymark.llm.queries import QUERIES
 
@@ -257,3 +258,24 @@ def test_items_shorter_than_a_shingle_equal_all_windows(spark):
                     want.add((i, r.item_id))
     found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items).collect()}
     assert found == want and len(want) >= 6
+
+
+# Words of the Jaccard join
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(alphabet="aAbZ é日\n\t\x0b", max_size=60), max_size=4), st.integers(1, 40))
+def test_hashes_of_words_do_not_depend_on_pieces(texts, piece):
+    """Equal words have equal hashes wherever they stand, and different words different ones."""
+    before, seen = jaccard.PIECE, {}
+    for text in texts:
+        content = jaccard._LOWER[jaccard.np.frombuffer(text.encode(), dtype=jaccard.np.uint8)]
+        words = content.tobytes().split()
+        whole = jaccard.word_hashes(content).tolist()
+        jaccard.PIECE = piece
+        try:
+            assert jaccard.word_hashes(content).tolist() == whole
+        finally:
+            jaccard.PIECE = before
+        assert len(whole) == len(words) and all(seen.setdefault(w, h) == h for w, h in zip(words, whole))
+    assert len(set(seen.values())) == len(seen)
