@@ -10,7 +10,7 @@ is first linked to leaders, members of about the same size, one candidate each.
 still lies in different components of a long list is searched in rounds: the members outside
 the list's largest component, in tiles, against all its members, in blocks, by parity
 sketches, which bound the overlap from above. A component proposes its likeliest pairs
-that have not been refused, one in the first round and more in later ones, until none is
+that have not been refused, a few in the first round and more in later ones, until none is
 left; after each round components are found anew, so a large group of near copies is one
 after a round or two. Which shingles are common comes
 from counting every shingle of every document; the order is right whatever it holds, so it
@@ -61,8 +61,8 @@ TILE, BLOCK = 512, 16_384
 HELD_SHINGLES = 2_000_000
 # Sketches compared at once.
 CHUNK = 512
-# How many times more pairs a component proposes from round to round.
-STEP = 8
+# How many pairs a component proposes in the first round, and how many times more from round to round.
+FIRST, STEP = 4, 64
 # Rows up to which a side may be broadcast: 24 bytes each make 12 MB.
 BROADCAST_ROWS = 500_000
 
@@ -526,10 +526,8 @@ def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
     """The pairs (x, y) whose sets link, as (a, b)."""
     needed = pairs.select(F.col("x").alias("sid")).union(pairs.select(F.col("y").alias("sid"))).distinct()
-    members = durable(
-        needed.join(classes, "sid").select("sid", F.col("doc_id").alias("_id"), F.col("fp").alias("_fp")), "candidate-texts"
-    )
-    held = _bounded(members, members.count())
+    members = needed.join(classes, "sid").select("sid", F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"))
+    held = _bounded(members, 2 * pairs.count())
     same = rows["doc_id"].eqNullSafe(held["_id"]) & rows["fp"].eqNullSafe(held["_fp"])
     # Rows that repeat id and text are one: a set a class.
     texts = rows.join(held, same).groupBy("sid").agg(F.first("text").alias("text"))
@@ -577,6 +575,14 @@ def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFram
     return durable(queries.mapInArrow(work, "a bigint, b bigint"), "links")
 
 
+def _renamed(labels: DataFrame, links: DataFrame, merged: DataFrame) -> DataFrame:
+    """The components of all sets that are linked by now: ``labels`` and new ``links``, components of whose are ``merged``."""
+    ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
+    known = ends.join(labels, "node", "left_anti").select("node", F.col("node").alias("component")).union(labels)
+    renamed = known.join(merged.toDF("component", "_merged"), "component", "left")
+    return durable(renamed.select("node", F.coalesce("_merged", "component").alias("component")), "labels")
+
+
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, fingerprint of its text, n_shingles, component_id (smallest doc_id that links reach)."""
     rows = docs.select(
@@ -605,7 +611,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     # Long lists again, those that still hold members of different components, until
     # no pair of these is left that might link.
     long_lists = candidates.where("y IS NULL").select("shingle", "size", F.col("x").alias("sid"))
-    sketches, refused, most = classes.select("sid", "sketch"), None, 1
+    sketches, refused, most = classes.select("sid", "sketch"), None, FIRST
     while True:
         more = durable(_between_components(_cells(long_lists, first, sketches, refused), most), "more-candidates")
         if more.isEmpty():
@@ -614,10 +620,12 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
         failed = more.join(found, (F.col("x") == F.col("a")) & (F.col("y") == F.col("b")), "left_anti")
         # Either member of a refused pair may be the one to propose it again.
         failed = failed.union(failed.select(F.col("y").alias("x"), F.col("x").alias("y")))
-        refused = durable(failed if refused is None else refused.union(failed), "refused-pairs")
+        refused = failed if refused is None else refused.union(failed)
         if not found.isEmpty():
-            links = links.union(found)
-            first = components(links)
+            # Components of components: only the new links are followed.
+            named = found.join(first.toDF("a", "_a"), "a", "left").join(first.toDF("b", "_b"), "b", "left")
+            merged = components(named.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")))
+            first = _renamed(first, found, merged)
         most *= STEP
     joined = durable(
         classes.join(first, F.col("sid") == F.col("node"), "left").select(
