@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 from collections.abc import Callable, Iterator, Sequence
 
@@ -53,6 +55,9 @@ def worker_cache(name: str, make: Callable[[], object]):
     """What a worker keeps from task to task under a name; what it kept under another name goes."""
     if name not in _held:
         _held.clear()
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)  # back to the system, where the C library can
         _held[name] = make()
     return _held[name]
 

@@ -42,7 +42,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import durable, gram_hashes, map_rows, mixed
+from .common import durable, gram_hashes, map_rows, mixed, worker_cache
 from .components import components
 from .divide_skip import divide_skip
 
@@ -193,6 +193,7 @@ def _sets_and_counts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     ranges = _ranges(rows)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("shingles", dict)  # nothing is kept here, and what the operator before kept goes
         edges = np.array([(i << 48) // ranges for i in range(1, ranges)], dtype=np.uint64)
 
         def counted(held):
