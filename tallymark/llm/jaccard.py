@@ -58,7 +58,11 @@ SKETCH_BITS = 1024
 # Members compared in one task: of a list's smaller components, and of the whole list.
 TILE, BLOCK = 512, 16_384
 # Shingles a worker counts before it passes them on.
-HELD_SHINGLES = 2_000_000
+HELD_SHINGLES = 1_000_000
+# Ranges of hashes for each partition they are counted in, one range at a time.
+RANGES_EACH = 4
+# Rows of a batch that are turned into Python objects at once.
+SLICE_ROWS = 1024
 # Sketches compared at once.
 CHUNK = 512
 # How many pairs a component proposes in the first round, and how many times more from round to round.
@@ -190,7 +194,7 @@ def _sets_and_counts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     Documents: doc_id, text fingerprint, number of shingles, hash and sketch of the set
     (null: no shingle). Counts: each batch's shingles by range, one of many equal parts of all hashes.
     """
-    ranges = _ranges(rows)
+    ranges = RANGES_EACH * _partitions(rows)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cache("shingles", dict)  # nothing is kept here, and what the operator before kept goes
@@ -207,7 +211,7 @@ def _sets_and_counts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
             return pa.RecordBatch.from_pydict(out, schema=fields)
 
         held, size = [], 0
-        for batch in batches:
+        for batch in _slices(batches):
             sets = []
             for text in batch.column(2).to_pylist():
                 own = shingles(text)
@@ -240,38 +244,61 @@ def _sets_and_counts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def _ranges(rows: DataFrame) -> int:
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of few rows."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(start, SLICE_ROWS)
+
+
+def _partitions(rows: DataFrame) -> int:
     return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.rdd.getNumPartitions())
 
 
-def common_shingles(packed: DataFrame, ranges: int) -> np.ndarray:
-    """A bitmap of the shingles that many documents hold, by the first BITMAP_BITS bits of their hash.
+def _often(values: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
+    """Of the counts of one range, the shingles that many documents hold: place in the bitmap, and how common."""
+    # Shingles have 48 bits; a count takes the other 16, sums may be larger.
+    rows = np.concatenate(values)
+    rows <<= np.uint64(16)
+    rows |= np.minimum(np.concatenate(counts), 0xFFFF).astype(np.uint64)
+    rows.sort()
+    held = rows >> np.uint64(16)
+    starts = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]]))
+    rows &= np.uint64(0xFFFF)
+    total = np.add.reduceat(rows.view(np.int64), starts)
+    often = total > COMMON
+    places = (held[starts[often]] >> np.uint64(48 - BITMAP_BITS)).astype(np.int64)
+    level = np.log2(total[often] / COMMON).astype(np.int32)
+    return pa.RecordBatch.from_pydict(
+        {"place": places, "level": level}, schema=pa.schema([("place", pa.int64()), ("level", pa.int32())])
+    )
 
-    The counts of a range come together in the task of that range, as a partition of any other shuffle.
-    """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, counts = [], []
-        for batch in batches:
-            values += [_unpacked(b) for b in batch.column(1).to_pylist()]
-            counts += [np.frombuffer(zlib.decompress(b), dtype="<u4") for b in batch.column(2).to_pylist()]
-        if values:
-            # Shingles have 48 bits; a count takes the other 16, sums may be larger.
-            small = np.minimum(np.concatenate(counts), 0xFFFF).astype(np.uint64)
-            rows = np.sort(np.concatenate(values) << np.uint64(16) | small)
-            held = rows >> np.uint64(16)
-            starts = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]]))
-            total = np.add.reduceat((rows & np.uint64(0xFFFF)).astype(np.int64), starts)
-            often = total > COMMON
-            places = (held[starts][often] >> np.uint64(48 - BITMAP_BITS)).astype(np.int64)
-            level = np.log2(total[often] / COMMON).astype(np.int32)
-            yield pa.RecordBatch.from_pydict(
-                {"place": places, "level": level},
-                schema=pa.schema([("place", pa.int64()), ("level", pa.int32())]),
-            )
+def count_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts sorted by range, added up. A task may have several ranges, of which one is held at a time."""
+    current, values, counts = None, [], []
+    for batch in batches:
+        for i, own in enumerate(batch.column(0).to_pylist()):
+            if own != current and values:
+                yield _often(values, counts)
+                values, counts = [], []
+            current = own
+            values.append(_unpacked(batch.column(1)[i].as_py()))
+            counts.append(np.frombuffer(zlib.decompress(batch.column(2)[i].as_py()), dtype="<u4"))
+    if values:
+        yield _often(values, counts)
+
+
+def common_shingles(packed: DataFrame, partitions: int) -> np.ndarray:
+    """A bitmap of the shingles that many documents hold, by the first BITMAP_BITS bits of their hash.
 
+    The counts of a range come together in one task, as a partition of any other shuffle.
+    """
     often = durable(
-        packed.repartition(ranges, "range").mapInArrow(count, "place bigint, level int"), "common-shingles"
+        packed.repartition(partitions, "range")
+        .sortWithinPartitions("range")
+        .mapInArrow(count_ranges, "place bigint, level int"),
+        "common-shingles",
     )
     # Raise the bar by powers of two until the bitmap is at most an eighth full.
     level, held = 0, 0
@@ -560,7 +587,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFram
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, query, others = None, None, []
-        for batch in batches:
+        for batch in _slices(batches):
             found = []
             for x, y, xs, ys in zip(*[batch.column(i).to_pylist() for i in range(4)]):
                 if x != current or len(others) >= 64:
@@ -601,7 +628,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
         .select("sid", "m.doc_id", "m.fp", "n_shingles", "sketch"),
         "classes",
     )
-    bitmap = common_shingles(packed, _ranges(rows))
+    bitmap = common_shingles(packed, _partitions(rows))
     listed = _listed(rows, bitmap).repartition("shingle").sortWithinPartitions("shingle", "size", "sid")
     candidates = durable(
         listed.mapInArrow(_candidates, "x bigint, y bigint, shingle bigint, size int"), "candidates"
