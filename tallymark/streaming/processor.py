@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pandas as pd
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor
@@ -88,12 +90,13 @@ class DeliveryProcessor(StatefulProcessor):
         self.per_message = per_message
         self.reset_on_complete = reset_on_complete
 
+    def _fields(self):
+        counts = ", ".join(f"{name} bigint" for name in [*self.declared, *self.received])
+        return f"{counts}, control_us bigint, control_seq bigint, last_us bigint, timer_ms bigint, done boolean"
+
     def init(self, handle):
         self.handle = handle
-        counts = ", ".join(f"{name} bigint" for name in [*self.declared, *self.received])
-        self.state = handle.getValueState(
-            "delivery", f"{counts}, control_us bigint, control_seq bigint, last_us bigint, timer_ms bigint, done boolean"
-        )
+        self.state = handle.getValueState("delivery", self._fields())
 
     def _row(self, key, status, delivery, at_us):
         declared = [count or 0 for count in delivery.declared or [0] * len(self.declared)]
@@ -108,15 +111,18 @@ class DeliveryProcessor(StatefulProcessor):
         return row
 
     def _take(self, row, delivery):
-        if row.is_control:
-            delivery.declare([row[name] for name in self.declared], row.us, row.seq)
-        delivery.receive([row[name] for name in self.received], row.us)
+        if row["is_control"]:
+            delivery.declare([row[name] for name in self.declared], row["us"], row["seq"])
+        delivery.receive([row[name] for name in self.received], row["us"])
+
+    def _idle(self, delivery, timerValues):
+        """Whether the watermark passed while the request was idle. Spark hands over new
+        rows before it fires timers, so what was held has expired already."""
+        return delivery.timer_ms is not None and delivery.timer_ms <= timerValues.getCurrentWatermarkInMs()
 
     def handleInputRows(self, key, rows, timerValues):
         delivery = Delivery(len(self.declared), self.state.get())
-        if delivery.timer_ms is not None and delivery.timer_ms <= timerValues.getCurrentWatermarkInMs():
-            # The watermark passed while the request was idle, but Spark hands over new
-            # rows before it fires timers: what was held has expired already.
+        if self._idle(delivery, timerValues):
             yield from self._expire(key, delivery)
             self.handle.deleteTimer(delivery.timer_ms)
             delivery = Delivery(len(self.declared), None)
@@ -133,10 +139,11 @@ class DeliveryProcessor(StatefulProcessor):
         self._restart_timer(delivery)
         self.state.update(delivery.stored())
 
+    def _due(self, delivery):
+        return None if self.ttl_ms is None else delivery.last_us // 1000 + self.ttl_ms
+
     def _restart_timer(self, delivery):
-        if self.ttl_ms is None:
-            return
-        due = delivery.last_us // 1000 + self.ttl_ms
+        due = self._due(delivery)
         if due != delivery.timer_ms:
             if delivery.timer_ms is not None:
                 self.handle.deleteTimer(delivery.timer_ms)
@@ -155,3 +162,80 @@ class DeliveryProcessor(StatefulProcessor):
 
     def close(self):
         pass
+
+
+class PartProcessor(DeliveryProcessor):
+    """The same for a part of all requests: what is held of them comes and goes in one piece.
+
+    Every call to the state store, every timer and every answer of a key is a message to and
+    from the JVM, which takes longer than the work on a request; here a part has them, not a request.
+    A row is one JSON text, as each of its columns would be converted by itself; rows are folded
+    one at a time, so only the deliveries of a part are in memory.
+
+    State: a list of the part's requests, each its key and what ``DeliveryProcessor`` holds, and
+    the part's one timer, at the earliest moment at which one of them has been idle too long.
+    """
+
+    def __init__(self, keys, declared, received, ttl_ms, reset_on_complete):
+        super().__init__(keys, declared, received, ttl_ms, False, reset_on_complete)
+        self.keys = list(keys)
+
+    def init(self, handle):
+        self.handle = handle
+        keys = ", ".join(f"{name} string" for name in self.keys)
+        self.state = handle.getListState("delivery", f"{keys}, {self._fields()}")
+        if self.ttl_ms is not None:
+            self.timer = handle.getValueState("timer", "due_ms bigint")
+
+    def _held(self):
+        width = len(self.keys)
+        return {stored[:width]: stored[width:] for stored in map(tuple, self.state.get())}
+
+    def _keep(self, held, fired=None):
+        """Store the requests of the part and see to its timer; Spark itself removes one that ``fired``."""
+        if held:
+            self.state.put([(*request, *stored) for request, stored in held.items()])
+        else:
+            self.state.clear()
+        if self.ttl_ms is None:
+            return
+        due = min((stored[-2] for stored in held.values()), default=None)
+        pending = None if fired is not None else self.timer.get()
+        if due is None:
+            self.timer.clear()
+        elif pending is None or due < pending[0]:
+            if pending is not None:
+                self.handle.deleteTimer(pending[0])
+            self.handle.registerTimer(due)
+            self.timer.update((due,))
+
+    def handleInputRows(self, key, rows, timerValues):
+        held, open_now = self._held(), {}
+        for packed in rows:
+            row = json.loads(packed["message"])
+            request = tuple([row[name] for name in self.keys])
+            if request not in open_now:
+                delivery = Delivery(len(self.declared), held.get(request))
+                if self._idle(delivery, timerValues):
+                    yield from self._expire(request, delivery)
+                    delivery = Delivery(len(self.declared), None)
+                open_now[request] = [delivery, row["us"]]
+            current = open_now[request]
+            self._take(row, current[0])
+            current[1] = max(current[1], row["us"])
+        for request, (delivery, newest_us) in open_now.items():
+            if delivery.complete():
+                yield self._announce(request, delivery, newest_us)
+            delivery.timer_ms = self._due(delivery)
+            held[request] = delivery.stored()
+        self._keep(held)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        # Spark fires what lies before the watermark.
+        fired = expiredTimerInfo.getExpiryTimeInMs()
+        passed = max(fired, timerValues.getCurrentWatermarkInMs() - 1)
+        held = self._held()
+        idle = [request for request, stored in held.items() if stored[-2] <= passed]
+        for request in idle:
+            yield from self._expire(request, Delivery(len(self.declared), held.pop(request)))
+        self._keep(held, fired)

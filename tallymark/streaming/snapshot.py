@@ -32,6 +32,8 @@ def state_snapshot(
     if batch_id is not None:
         reader = reader.option("batchId", batch_id)
     stored = reader.load(checkpoint)
+    if "list_element" in stored.columns:  # a part's requests, each with its key
+        return stored.select("list_element.*")
     # Expanding value.* resolves by name and would read the first of several fields
     # of one name for all of them, so names are made unique by position first.
     value = F.col("value").cast(_unique_names(stored.schema["value"].dataType))

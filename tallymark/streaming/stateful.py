@@ -15,6 +15,10 @@ from .feed import delivery_feed
 # Executors need not have this package installed for the state logic.
 cloudpickle.register_pickle_by_value(processor)
 
+# Requests are worked on, stored and timed in so many parts. A part costs as many calls to the
+# state store as a single request would; it is read and written whole when one of its requests changes.
+PARTS = 1 << 14
+
 
 def stateful_reconcile(
     control: DataFrame,
@@ -37,7 +41,8 @@ def stateful_reconcile(
 
     By default counts are combined map-side before the shuffle and a request is looked
     at once per micro-batch, so a request that owns a third of the rows sends each task's
-    partial counts and nothing more. ``per_message`` looks after every message instead;
+    partial counts and nothing more. Requests are dealt by hash into ``PARTS`` parts, whose
+    state and timer are kept in one piece. ``per_message`` keeps each request by itself and looks after every message instead;
     that needs all of a request's messages of a micro-batch in one task, so bound the
     micro-batch at the source. ``reset_on_complete`` starts counting afresh after each
     completion instead of announcing it once.
@@ -68,20 +73,31 @@ def stateful_reconcile(
         feed = feed.withColumn("ts", F.timestamp_micros("tick")).withWatermark("ts", delay)
     ttl_ms = None if ttl is None else int(ttl / timedelta(milliseconds=1))
     key_types = {field.name: field.dataType.simpleString() for field in feed.schema if field.name in key_names}
+    if per_message:
+        groups = feed.groupBy(*keys)
+        subject = processor.DeliveryProcessor(key_names, declared, received, ttl_ms, per_message, reset_on_complete)
+    else:
+        texts = [F.col(name).cast("string").alias(name) for name in keys]
+        message = F.struct(*texts, "seq", "is_control", *declared, *received, "us")
+        groups = feed.select(
+            F.pmod(F.xxhash64(*keys), F.lit(PARTS)).alias("part"),
+            F.to_json(message, {"ignoreNullFields": "false"}).alias("message"),
+            *(["ts"] if ttl is not None else []),
+        ).groupBy("part")
+        subject = processor.PartProcessor(key_names, declared, received, ttl_ms, reset_on_complete)
     output = ", ".join(
         [
-            *[f"{name} {key_types[name]}" for name in key_names],
+            *[f"{name} {key_types[name] if per_message else 'string'}" for name in key_names],
             "status string",
             *[f"{name} bigint" for name in (*declared, *received)],
             "at_us bigint",
         ]
     )
-    changes = feed.groupBy(*keys).transformWithState(
-        statefulProcessor=processor.DeliveryProcessor(
-            key_names, declared, received, ttl_ms, per_message, reset_on_complete
-        ),
+    changes = groups.transformWithState(
+        statefulProcessor=subject,
         outputStructType=output,
         outputMode="Append",
         timeMode="None" if ttl is None else "EventTime",
     )
-    return changes.select(*keys, "status", *declared, *received, F.timestamp_micros("at_us").alias("at"))
+    own = [F.col(name).cast(key_types[name]).alias(name) for name in key_names]
+    return changes.select(*own, "status", *declared, *received, F.timestamp_micros("at_us").alias("at"))
