@@ -7,7 +7,7 @@ the ``protobuf`` Python package on the executors and moves Arrow batches.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -21,16 +21,18 @@ from .codec import CONTROL_FIELDS, DATA_FIELDS, KEY_FIELDS, MAX_WIRE_COUNT, Mess
 cloudpickle.register_pickle_by_value(wire)
 
 
+# Functions of one array, not of an iterator of them: Spark hands such of a row's to one Python
+# process, so that a task has one for key and value and not one for each.
 def _arrow_decoder(message: str, schema: str) -> Callable[[Column], Column]:
-    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        return wire.decode_batches(message, batches)
+    def decode(batch: pa.Array) -> pa.Array:
+        return wire.decode_batch(message, batch)
 
     return lambda payload: F.arrow_udf(decode, schema)(payload)
 
 
 def _arrow_encoder(message: str) -> Callable[[Column], Column]:
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        return wire.encode_batches(message, batches)
+    def encode(batch: pa.Array) -> pa.Array:
+        return wire.encode_batch(message, batch)
 
     return lambda body: F.arrow_udf(encode, "binary")(body)
 
